@@ -3,14 +3,16 @@ from __future__ import annotations
 
 
 def all_queries() -> dict:
-    from . import clinical
+    from . import clinical, ops
     out = {}
     out.update(clinical.QUERIES)
+    out.update(ops.QUERIES)
     return out
 
 
 def all_oracles() -> dict:
-    from . import clinical_sql
+    from . import clinical_sql, ops_sql
     out = {}
     out.update(clinical_sql.oracles())
+    out.update(ops_sql.oracles())
     return out

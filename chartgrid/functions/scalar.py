@@ -35,3 +35,12 @@ def in_range(c, lo=None, hi=None, lo_inclusive: bool = False,
 def logistic(z) -> Column:
     """1 / (1 + exp(-z))."""
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-_c(z)))
+
+
+def round_half_away(c, digits: int) -> Column:
+    """Round a double to ``digits`` places on its binary value, half away from
+    zero (``round(x * 10^d) / 10^d``) — the warehouse's float ROUND.  Spark's
+    ``round`` works on the shortest decimal string instead, which differs at
+    exact half-way strings such as 1845.26275."""
+    m = float(10 ** digits)
+    return F.round(_c(c) * F.lit(m)) / F.lit(m)

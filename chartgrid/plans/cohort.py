@@ -7,6 +7,7 @@ from operator import or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import round_half_away
 from ..functions.time import add_hours, ceil_hour, day_diff, hour_diff, second_diff
 from ..operators.grid import hour_grid
 from ..operators.rank import ordinal
@@ -14,15 +15,23 @@ from ..sources.fixtures import IcuSources
 from . import concepts as K
 
 
+def rows_in_stay_window(src: IcuSources, codes=K.HEART_RATE_CODES) -> DataFrame:
+    """Chart rows of ``codes`` inside (intime - 12h, outtime - 12h) of their
+    stay: an equi-join on the stay with a time-range residual (J3).  The stay
+    side is one row per stay; AQE broadcasts it when it is small."""
+    rows = (src.chartevents.where(F.col("itemid").isin(*codes))
+            .select("icustay_id", "charttime", "itemid"))
+    stays = src.icustays.select("icustay_id", "intime", "outtime")
+    return rows.join(stays, "icustay_id").where(
+        (F.col("charttime") > add_hours("intime", -K.STAY_WINDOW_HOURS))
+        & (F.col("charttime") < add_hours("outtime", -K.STAY_WINDOW_HOURS))
+    ).select("icustay_id", "charttime", "itemid")
+
+
 def stay_bounds(src: IcuSources) -> DataFrame:
     """First/last heart-rate time per stay, rounded up to the hour, using
     only rows in (intime - 12h, outtime - 12h) (both strict)."""
-    hr_rows = (src.chartevents.where(F.col("itemid").isin(*K.HEART_RATE_CODES))
-               .select("icustay_id", "charttime"))
-    stays = src.icustays.select("icustay_id", "intime", "outtime")
-    j = hr_rows.join(stays, "icustay_id").where(
-        (F.col("charttime") > add_hours("intime", -K.STAY_WINDOW_HOURS))
-        & (F.col("charttime") < add_hours("outtime", -K.STAY_WINDOW_HOURS)))
+    j = rows_in_stay_window(src)
     return j.groupBy("icustay_id").agg(ceil_hour(F.min("charttime")).alias("intime_hr"),
                                        ceil_hour(F.max("charttime")).alias("outtime_hr"))
 
@@ -50,7 +59,7 @@ def cohort(src: IcuSources, bounds: DataFrame | None = None) -> DataFrame:
                                 F.col("outtime").alias("icu_outtime"), "los")
     j = (stays.join(adm, "hadm_id").join(pat, "subject_id")
               .join(icu.drop("subject_id"), "icustay_id"))
-    age = F.round(day_diff("admittime", "dob") / F.lit(K.DAYS_PER_YEAR), 4)
+    age = round_half_away(day_diff("admittime", "dob") / F.lit(K.DAYS_PER_YEAR), 4)
     r_adult = age <= F.lit(float(K.ADULT_AGE))
     r_valid = ((F.col("has_chartevents_data") == 0) | F.col("icu_intime").isNull()
                | F.col("icu_outtime").isNull() | F.col("intime_hr").isNull()

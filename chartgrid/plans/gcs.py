@@ -11,10 +11,9 @@ from ..operators.rank import best_per_group
 from . import concepts as K
 
 
-def canonical_components(chartevents: DataFrame, kept: DataFrame,
-                         null_safe_error: bool = False) -> DataFrame:
-    """Coma-score rows of kept stays with item codes mapped to one code per
-    component and intubation sentinels mapped to verbal 0 (P15, P19)."""
+def canonicalise(chartevents: DataFrame, null_safe_error: bool = False) -> DataFrame:
+    """Coma-score rows with item codes mapped to one code per component and
+    intubation sentinels mapped to verbal 0 (P15, P19)."""
     code = None
     for canon, sources in K.GCS_CANONICAL:
         cond = F.col("itemid").isin(*sources)
@@ -25,11 +24,17 @@ def canonical_components(chartevents: DataFrame, kept: DataFrame,
         cond = (F.col("itemid") == src_code) & (F.col("value") == text)
         sentinel = cond if sentinel is None else (sentinel | cond)
     return (chartevents.where(F.col("itemid").isin(*K.GCS_CODES) & ne_3vl("error", 1, null_safe_error))
-            .join(kept.select("icustay_id", "intime"), "icustay_id")
-            .select("icustay_id", "intime", "charttime", code.alias("itemid"),
+            .select("icustay_id", "charttime", code.alias("itemid"),
                     F.when(sentinel, F.lit(0.0)).otherwise(F.col("valuenum")).alias("valuenum")))
 
 
+def canonical_components(chartevents: DataFrame, kept: DataFrame,
+                         null_safe_error: bool = False) -> DataFrame:
+    """Canonical coma-score rows of kept stays, with the stay's start time."""
+    return canonicalise(chartevents, null_safe_error).join(
+        kept.select("icustay_id", "intime"), "icustay_id")
+
+
 def gcs_by_time(rows: DataFrame) -> DataFrame:
     """One row per (stay, charttime) with the three components."""
     comp = lambda c: F.max(F.when(F.col("itemid") == c, F.col("valuenum")))
