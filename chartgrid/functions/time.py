@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EPOCH = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+def EPOCH() -> Column:  # noqa: N802 - a constant, built lazily (needs a live session)
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
 def _c(x) -> Column:
@@ -59,4 +60,4 @@ def epoch_micros(t) -> Column:
     Used as a numeric order key for range frames; independent of the
     session zone.
     """
-    return F.timestamp_diff("MICROSECOND", EPOCH, _c(t))
+    return F.timestamp_diff("MICROSECOND", EPOCH(), _c(t))

@@ -1,71 +1,111 @@
 """Exact quantiles by distributed selection.
 
 Spark's exact ``percentile``/``median`` keeps a value -> count map of the
-whole column in one aggregation buffer, which does not scale.  Here each pass
-is a full scan with a tiny partial aggregate: count the rows below a bracket
-and histogram the bracket into ``bins`` buckets; the bucket that holds the
-wanted rank becomes the next bracket.  When a bracket holds at most
-``collect_limit`` rows (bounded, checked), those values are fetched and the
-rank is read off exactly.  Brackets shrink by ``bins`` per pass, so a double
-column converges in a handful of passes.
+whole column in one aggregation buffer, which does not scale.  Here every
+wanted rank ("target", one or two per column for an interpolated quantile)
+keeps a bracket [lo, hi] known to contain it and the number of values below
+``lo``.  Each pass is one scan of the (persisted) input for *all* targets:
+values are tagged with the targets whose bracket they fall in and
+histogrammed into ``bins`` buckets per target (count, min, max per bucket,
+a partial aggregate of at most ``targets x bins`` rows).  The bucket holding
+the rank becomes the next bracket.  Once a bracket holds at most
+``collect_limit`` values, the next pass returns its distinct values with
+counts and the rank is read off exactly.
 """
 from __future__ import annotations
 
 import math
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _kth(df: DataFrame, col: str, k: int, lo: float, hi: float, below: int,
-         bins: int, collect_limit: int) -> float:
-    """Value of 0-based rank ``k`` among non-null ``col``, given that exactly
-    ``below`` rows are < ``lo`` and rank ``k`` lies in [lo, hi]."""
-    c = F.col(col)
-    for _ in range(200):
-        if lo == hi:
-            return lo
-        band = df.where((c >= F.lit(lo)) & (c <= F.lit(hi)))
-        width = (hi - lo) / bins
-        b = F.least(F.floor((c - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
-        # <= bins rows: count, min and max of each bucket (monotone in the value,
-        # so bucket i's values are exactly those in [min_i, max_i])
-        hist = sorted(band.groupBy(b.alias("b"))
-                      .agg(F.count(F.lit(1)), F.min(c), F.max(c)).collect())
-        acc = below
-        for _, n, mn, mx in hist:
-            if acc + n > k:
-                if n <= collect_limit:
-                    vals = sorted(r[0] for r in
-                                  df.where((c >= F.lit(mn)) & (c <= F.lit(mx))).select(c).collect())
-                    return vals[k - acc]
-                lo, hi, below = mn, mx, acc
+def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5, bins: int = 1024,
+                    collect_limit: int = 20_000, max_passes: int = 64) -> dict:
+    """Exact linearly interpolated ``q``-quantile of each column (NULL and
+    NaN ignored), like pandas ``quantile`` / Spark ``percentile``."""
+    cols = list(cols)
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("ci"), F.col(c).cast("double").alias("v"))
+        for i, c in enumerate(cols)])).alias("x")).select("x.ci", "x.v")
+    long = long.where(F.col("v").isNotNull() & ~F.isnan("v")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        stats = {r["ci"]: r for r in long.groupBy("ci").agg(
+            F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
+        targets = {}   # tid -> dict(ci, k, lo, hi, below, mode, value)
+        for i in range(len(cols)):
+            if i not in stats:
+                continue
+            n, lo, hi = stats[i]["n"], stats[i]["lo"], stats[i]["hi"]
+            pos = q * (n - 1)
+            for k in sorted({int(math.floor(pos)), int(math.ceil(pos))}):
+                targets[len(targets)] = dict(ci=i, k=k, lo=lo, hi=hi, below=0,
+                                             mode="collect" if n <= collect_limit else "hist",
+                                             value=lo if lo == hi else None)
+        for _ in range(max_passes):
+            active = {t: s for t, s in targets.items() if s["value"] is None}
+            if not active:
                 break
-            acc += n
-        else:
-            raise RuntimeError("rank outside the bracket")
-    raise RuntimeError("selection did not converge")
+            arr = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(s["ci"]).alias("ci"),
+                                     F.lit(float(s["lo"])).alias("lo"), F.lit(float(s["hi"])).alias("hi"),
+                                     F.lit(s["mode"] == "collect").alias("c"))
+                            for t, s in active.items()])
+            tagged = long.select("v", F.explode(F.filter(
+                arr, lambda a: (a["ci"] == F.col("ci")) & (F.col("v") >= a["lo"])
+                & (F.col("v") <= a["hi"]))).alias("a"))
+            width = (tagged["a"]["hi"] - tagged["a"]["lo"]) / F.lit(float(bins))
+            bucket = F.when(tagged["a"]["c"], F.lit(None).cast("int")).otherwise(
+                F.least(F.floor((F.col("v") - tagged["a"]["lo"]) / width), F.lit(bins - 1)).cast("int"))
+            key = F.when(tagged["a"]["c"], F.col("v"))        # exact value in collect mode
+            rows = tagged.groupBy(F.col("a.t").alias("t"), bucket.alias("b"), key.alias("val")).agg(
+                F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).collect()
+            by_t: dict = {}
+            for r in rows:
+                by_t.setdefault(r["t"], []).append(r)
+            for t, s in active.items():
+                rs = by_t.get(t, [])
+                if s["mode"] == "collect":
+                    acc = s["below"]
+                    for r in sorted(rs, key=lambda r: r["val"]):
+                        if acc + r["n"] > s["k"]:
+                            s["value"] = r["val"]
+                            break
+                        acc += r["n"]
+                    else:
+                        raise RuntimeError("rank outside the bracket")
+                    continue
+                acc = s["below"]
+                for r in sorted(rs, key=lambda r: r["b"]):
+                    if acc + r["n"] > s["k"]:
+                        s.update(lo=r["mn"], hi=r["mx"], below=acc,
+                                 mode="collect" if r["n"] <= collect_limit else "hist")
+                        if r["mn"] == r["mx"]:
+                            s["value"] = r["mn"]
+                        break
+                    acc += r["n"]
+                else:
+                    raise RuntimeError("rank outside the bracket")
+        out = {}
+        for i, c in enumerate(cols):
+            ts = [s for s in targets.values() if s["ci"] == i]
+            if not ts:
+                out[c] = None
+                continue
+            n = stats[i]["n"]
+            pos = q * (n - 1)
+            v0 = min(ts, key=lambda s: s["k"])["value"]
+            v1 = max(ts, key=lambda s: s["k"])["value"]
+            out[c] = v0 + (v1 - v0) * (pos - math.floor(pos))
+        return out
+    finally:
+        long.unpersist()
 
 
-def exact_quantile(df: DataFrame, col: str, q: float, bins: int = 1024,
-                   collect_limit: int = 100_000) -> float | None:
-    """Exact linearly interpolated quantile (pandas / Spark ``percentile``)."""
-    c = F.col(col).cast("double")
-    d = df.select(c.alias(col)).where(F.col(col).isNotNull() & ~F.isnan(F.col(col)))
-    n, lo, hi = d.agg(F.count(F.lit(1)), F.min(col), F.max(col)).first()
-    if not n:
-        return None
-    pos = q * (n - 1)
-    k0, k1 = int(math.floor(pos)), int(math.ceil(pos))
-    v0 = _kth(d, col, k0, lo, hi, 0, bins, collect_limit)
-    v1 = v0 if k1 == k0 else _kth(d, col, k1, v0, hi, _count_below(d, col, v0), bins, collect_limit)
-    return v0 + (v1 - v0) * (pos - k0)
-
-
-def _count_below(d: DataFrame, col: str, v: float) -> int:
-    return d.where(F.col(col) < F.lit(v)).count()
+def exact_quantile(df: DataFrame, col: str, q: float, **kw) -> float | None:
+    return exact_quantiles(df, [col], q, **kw)[col]
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str]) -> dict:
-    return {c: exact_quantile(df, c, 0.5) for c in cols}
+    return exact_quantiles(df, cols, 0.5)
