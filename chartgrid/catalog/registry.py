@@ -3,18 +3,20 @@ from __future__ import annotations
 
 
 def all_queries() -> dict:
-    from . import clinical, ops, seq
+    from . import clinical, metrics, ops, seq
     out = {}
     out.update(clinical.QUERIES)
     out.update(ops.QUERIES)
     out.update(seq.QUERIES)
+    out.update(metrics.QUERIES)
     return out
 
 
 def all_oracles() -> dict:
-    from . import clinical_sql, ops_sql, seq_sql
+    from . import clinical_sql, metrics_sql, ops_sql, seq_sql
     out = {}
     out.update(clinical_sql.oracles())
     out.update(ops_sql.oracles())
     out.update(seq_sql.oracles())
+    out.update(metrics_sql.oracles())
     return out

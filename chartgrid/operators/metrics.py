@@ -83,14 +83,16 @@ def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     w0, w1 = ratio(F.col("s0"), F.col("tot")), ratio(F.col("s1"), F.col("tot"))
     macro = lambda a, b: (F.col(a) + F.col(b)) / F.lit(2.0)
     wavg = lambda a, b: F.col(a) * w0 + F.col(b) * w1
+    def row(name, p, r, f1, support):
+        return F.struct(F.lit(name).alias("class"), p.cast("double").alias("precision"),
+                        r.cast("double").alias("recall"), f1.cast("double").alias("f1"),
+                        support.cast("bigint").alias("support"))
+
+    none = F.lit(None).cast("double")
     rows = F.array(
-        F.struct(F.lit("0").alias("class"), F.col("p0").alias("precision"), F.col("r0").alias("recall"),
-                 F.col("f0").alias("f1"), F.col("s0").alias("support")),
-        F.struct(F.lit("1"), F.col("p1"), F.col("r1"), F.col("f1"), F.col("s1")),
-        F.struct(F.lit("accuracy"), F.lit(None).cast("double"), F.lit(None).cast("double"),
-                 F.col("acc"), F.col("tot")),
-        F.struct(F.lit("macro avg"), macro("p0", "p1"), macro("r0", "r1"), macro("f0", "f1"),
-                 F.col("tot")),
-        F.struct(F.lit("weighted avg"), wavg("p0", "p1"), wavg("r0", "r1"), wavg("f0", "f1"),
-                 F.col("tot")))
+        row("0", F.col("p0"), F.col("r0"), F.col("f0"), F.col("s0")),
+        row("1", F.col("p1"), F.col("r1"), F.col("f1"), F.col("s1")),
+        row("accuracy", none, none, F.col("acc"), F.col("tot")),
+        row("macro avg", macro("p0", "p1"), macro("r0", "r1"), macro("f0", "f1"), F.col("tot")),
+        row("weighted avg", wavg("p0", "p1"), wavg("r0", "r1"), wavg("f0", "f1"), F.col("tot")))
     return x.select(F.inline(rows))
