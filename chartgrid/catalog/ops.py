@@ -260,3 +260,23 @@ QUERIES = {
     "head_n": q_head_n,
     "topk": q_topk,
 }
+
+
+def q_fill_missing(spark, sf):
+    from pyspark.sql import types as T
+    from ..operators.quality import columns_of_type
+    adm = icu_sources(spark, sf).admissions.select(
+        "hadm_id", "ethnicity", "admission_type", "hospital_expire_flag", "has_chartevents_data")
+    filled = adm.fillna("missing", subset=["ethnicity", "admission_type"])
+    ints = [c for c in columns_of_type(filled, T.IntegerType) if c != "hadm_id"]
+    return filled.withColumns({c: F.col(c).cast("double") for c in ints})
+
+
+def q_coalesce_sources(spark, sf):
+    from ..plans.assemble import IcuPipeline
+    h = IcuPipeline(icu_sources(spark, sf)).hourly(parts=("vit", "bg", "lab"))
+    return rounded(h.select("icustay_id", "hr", *[o for o, _ in K.PRECEDENCE]))
+
+
+QUERIES["fill_missing"] = q_fill_missing
+QUERIES["coalesce_sources"] = q_coalesce_sources

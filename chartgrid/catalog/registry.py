@@ -3,12 +3,13 @@ from __future__ import annotations
 
 
 def all_queries() -> dict:
-    from . import clinical, metrics, ops, seq
+    from . import clinical, metrics, ml, ops, seq
     out = {}
     out.update(clinical.QUERIES)
     out.update(ops.QUERIES)
     out.update(seq.QUERIES)
     out.update(metrics.QUERIES)
+    out.update(ml.QUERIES)
     return out
 
 
@@ -16,6 +17,7 @@ def all_oracles() -> dict:
     from . import clinical_sql, metrics_sql, ops_sql, seq_sql
     out = {}
     out.update(clinical_sql.oracles())
+    out.update(clinical_sql.extra_oracles())
     out.update(ops_sql.oracles())
     out.update(seq_sql.oracles())
     out.update(metrics_sql.oracles())
