@@ -28,7 +28,7 @@ ALL_PARTS = ("vit", "gcs", "uo", "bg", "lab")
 
 
 class IcuPipeline:
-    def __init__(self, src: IcuSources, null_safe_error: bool = False, persist: bool = False):
+    def __init__(self, src: IcuSources, null_safe_error: bool = False, persist: bool = True):
         self.src = src
         self.null_safe_error = null_safe_error
         self._persist = persist
