@@ -3,13 +3,14 @@ from __future__ import annotations
 
 
 def all_queries() -> dict:
-    from . import clinical, metrics, ml, ops, seq
+    from . import clinical, metrics, ml, ops, seq, streams
     out = {}
     out.update(clinical.QUERIES)
     out.update(ops.QUERIES)
     out.update(seq.QUERIES)
     out.update(metrics.QUERIES)
     out.update(ml.QUERIES)
+    out.update(streams.QUERIES)
     return out
 
 
@@ -18,6 +19,7 @@ def all_oracles() -> dict:
     out = {}
     out.update(clinical_sql.oracles())
     out.update(clinical_sql.extra_oracles())
+    out["vitals_stream"] = out["vitals"]  # same result as the batch form
     out.update(ops_sql.oracles())
     out.update(seq_sql.oracles())
     out.update(metrics_sql.oracles())

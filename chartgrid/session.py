@@ -13,6 +13,10 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Coalesce small shuffles toward one partition per core, not toward
+    # 1 MB chunks: small-but-CPU-heavy stages (windows, generators) keep their
+    # parallelism.  Large shuffles are unaffected (they are far above 64 KB).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
 }
 
 

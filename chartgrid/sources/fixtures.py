@@ -8,8 +8,9 @@ admission and one patient per customer).  The same definitions, as portable
 SQL, are in :mod:`chartgrid.sources.fixture_sql` for the DuckDB oracle.
 
 The event-attribute-value tables fan every event out to a fixed list of item
-codes with ``filter`` + ``explode`` of a literal array (a per-row generator,
-no join), so the work stays a narrow, codegen-friendly scan of ``events``.
+codes with ``explode`` of a literal array (a per-row generator,
+no join) and a plain filter, so the work stays a narrow, codegen-friendly
+scan of ``events``.
 """
 from __future__ import annotations
 
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import read_table
+from .tables import read_table, spread
 
 # Fixed values of the test fixture (FIXTURES.md §2): item code, low, high of
 # the generated numeric value.
@@ -123,9 +124,9 @@ def patients(customer: DataFrame) -> DataFrame:
 def chartevents(events: DataFrame) -> DataFrame:
     e = events.select("event_id", "user_id", "ts")
     eid = F.col("event_id")
-    items = F.filter(_item_array(CHART_ITEMS),
-                     lambda i: (eid * F.lit(31) + i["itemid"]) % F.lit(3) == 0)
-    x = e.select("event_id", "user_id", "ts", F.explode(items).alias("i"))
+    # explode the fixed item list, then a plain (codegen) filter
+    x = (e.select("event_id", "user_id", "ts", F.explode(_item_array(CHART_ITEMS)).alias("i"))
+          .where((eid * F.lit(31) + F.col("i")["itemid"]) % F.lit(3) == 0))
     i = F.col("i")
     return x.select(
         _stay_id(F.col("user_id"), F.col("ts")).alias("icustay_id"),
@@ -143,9 +144,9 @@ def chartevents(events: DataFrame) -> DataFrame:
 def labevents(events: DataFrame) -> DataFrame:
     e = events.select("event_id", "user_id", "ts").where(F.col("event_id") % 2 == 0)
     eid = F.col("event_id")
-    items = F.filter(_item_array(LAB_ITEMS, with_variant=True),
-                     lambda i: (i["variant"] == 0) | (eid % 20 == 0))
-    x = e.select("event_id", "user_id", "ts", F.explode(items).alias("i"))
+    x = (e.select("event_id", "user_id", "ts",
+                  F.explode(_item_array(LAB_ITEMS, with_variant=True)).alias("i"))
+          .where((F.col("i")["variant"] == 0) | (eid % 20 == 0)))
     i = F.col("i")
     return x.select(
         F.col("user_id").alias("hadm_id"),
@@ -181,9 +182,27 @@ class IcuSources:
     patients: DataFrame
 
 
+def slim_sources(src: IcuSources, chart_codes, lab_codes, output_codes=None) -> IcuSources:
+    """Scan sharing: the clinical chain reads chartevents five times and
+    labevents twice.  Keep only the item codes and columns the chain uses and
+    persist (memory, spilling to disk; lost blocks are recomputed from the
+    scan), so each large table is scanned once."""
+    from pyspark import StorageLevel
+    lvl = StorageLevel.MEMORY_AND_DISK
+    ce = src.chartevents.where(F.col("itemid").isin(*chart_codes)).select(
+        "icustay_id", "hadm_id", "charttime", "itemid", "value", "valuenum", "error").persist(lvl)
+    le = src.labevents.where(F.col("itemid").isin(*lab_codes)).select(
+        "hadm_id", "charttime", "itemid", "value", "valuenum").persist(lvl)
+    oe = src.outputevents
+    if output_codes is not None:
+        oe = oe.where(F.col("itemid").isin(*output_codes))
+    return IcuSources(chartevents=ce, labevents=le, outputevents=oe, icustays=src.icustays,
+                      admissions=src.admissions, patients=src.patients)
+
+
 def icu_sources(spark: SparkSession, sf_dir: str) -> IcuSources:
     """ICU-shaped views over ``sf_dir``'s ``events`` and ``customer``."""
-    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value"])
+    ev = spread(read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value"]), "user_id")
     cu = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
     return IcuSources(chartevents=chartevents(ev), labevents=labevents(ev),
                       outputevents=outputevents(ev), icustays=icustays(ev),
