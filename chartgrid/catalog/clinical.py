@@ -76,7 +76,22 @@ def q_sequence_extract(spark, sf):
     return rounded(_pipe(spark, sf).sequences(24))
 
 
+def q_specimen_prob(spark, sf):
+    from ..plans.bloodgas import gas_with_context, specimen_probability
+    p = _pipe(spark, sf)
+    g = gas_with_context(p.src.labevents, p.src.chartevents, p.kept)
+    return rounded(g.select("hadm_id", "charttime", "hr", "spo2", "fio2_chartevents",
+                            specimen_probability().alias("specimen_prob")))
+
+
+def q_gas_indices(spark, sf):
+    return rounded(_pipe(spark, sf).art_bg.select("hadm_id", "hr", "po2", "pco2", "aado2_calc",
+                                                  "pao2fio2ratio"))
+
+
 QUERIES = {
+    "specimen_prob": q_specimen_prob,
+    "gas_indices": q_gas_indices,
     "stay_bounds": q_stay_bounds,
     "cohort": q_cohort,
     "hour_grid": q_hour_grid,

@@ -51,6 +51,12 @@ class IcuPipeline:
         self.null_safe_error = null_safe_error
         self._persist = persist
 
+    def unpersist(self) -> None:
+        """Release the persisted slices and cohort."""
+        for df in (self.src.chartevents, self.src.labevents, self.__dict__.get("cohort")):
+            if df is not None and df.storageLevel.useMemory | df.storageLevel.useDisk:
+                df.unpersist()
+
     def _keep(self, df: DataFrame) -> DataFrame:
         return df.persist(StorageLevel.MEMORY_AND_DISK) if self._persist else df
 

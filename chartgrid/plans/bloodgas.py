@@ -79,6 +79,20 @@ ART_COLUMNS = ("specimen", "specimen_pred", "specimen_prob", "so2", "spo2", "po2
                "ventilationrate", "ventilator", "peep", "o2flow", "requiredo2")
 
 
+def gas_with_context(labevents: DataFrame, chartevents: DataFrame, kept: DataFrame) -> DataFrame:
+    """Every gas with a PO2 of an admission with a kept stay, on the hour grid
+    of the admission's lowest kept stay, with the latest charted SpO2 of the
+    previous 2 h and the latest positive charted FiO2 of the previous 4 h."""
+    bg = bg_panel(labevents).where(F.col("po2").isNotNull())
+    bg = (bg.join(first_kept_stay(kept), "hadm_id")
+            .withColumn("hr", hour_diff("charttime", "intime")).drop("intime", "icustay_id"))
+    bg = asof_lookback(bg, spo2_charted(chartevents), ["hadm_id"], "charttime", "charttime",
+                       ["spo2"], K.SPO2_LOOKBACK_HOURS * 3600)
+    fio2 = fio2_charted(chartevents).where(F.col("fio2_chartevents") > 0)
+    return asof_lookback(bg, fio2, ["hadm_id"], "charttime", "charttime",
+                         ["fio2_chartevents"], K.FIO2_LOOKBACK_HOURS * 3600)
+
+
 def art_bg(labevents: DataFrame, chartevents: DataFrame, kept: DataFrame) -> DataFrame:
     """(hadm_id, hr) -> the latest arterial (measured or predicted) gas.
 
@@ -89,15 +103,8 @@ def art_bg(labevents: DataFrame, chartevents: DataFrame, kept: DataFrame) -> Dat
     the latest gas is kept, and it is kept only if its specimen is arterial
     or the predicted probability exceeds 0.75.
     """
-    bg = bg_panel(labevents).where(F.col("po2").isNotNull())
-    bg = (bg.join(first_kept_stay(kept), "hadm_id")
-            .withColumn("hr", hour_diff("charttime", "intime")).drop("intime", "icustay_id"))
-    bg = asof_lookback(bg, spo2_charted(chartevents), ["hadm_id"], "charttime", "charttime",
-                       ["spo2"], K.SPO2_LOOKBACK_HOURS * 3600)
-    fio2 = fio2_charted(chartevents).where(F.col("fio2_chartevents") > 0)
-    bg = asof_lookback(bg, fio2, ["hadm_id"], "charttime", "charttime",
-                       ["fio2_chartevents"], K.FIO2_LOOKBACK_HOURS * 3600)
-    bg = last_per_group(bg, ["hadm_id", "hr"], "charttime")
+    bg = last_per_group(gas_with_context(labevents, chartevents, kept), ["hadm_id", "hr"],
+                        "charttime")
     bg = bg.withColumn("specimen_prob", specimen_probability())
     bg = bg.where((F.col("specimen") == "ART") | (F.col("specimen_prob") > K.SPECIMEN_THRESHOLD))
     fio2_any = F.coalesce(F.col("fio2"), F.col("fio2_chartevents"))
