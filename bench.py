@@ -26,7 +26,10 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q] or list(HEADLINE)
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(2 * cpus, 8), app="chartgrid-bench")
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(2 * cpus, 8))))
+    extra = json.loads(os.environ.get("BENCH_EXTRA_CONF", "{}"))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=parts, app="chartgrid-bench",
+                          extra=extra)
     qs = all_queries()
     # warm-up: JVM, codegen caches and file listing, not timed
     qs["vitals"](spark, sf_dir).write.format("noop").mode("overwrite").save()
