@@ -10,7 +10,7 @@ from ..functions.scalar import in_range, ne_3vl, round_half_away
 from ..operators.asof import asof_lookback
 from ..operators.carry import carry_previous
 from ..operators.pivot import Concept, concept_value, count_code, pivot_agg
-from ..operators.rank import best_per_group, last_per_group, ordinal
+from ..operators.rank import best_per_group, last_per_group, ordinal_skew_safe
 from ..plans import concepts as K
 from ..plans.bloodgas import fio2_charted
 from ..plans.cohort import rows_in_stay_window
@@ -127,9 +127,10 @@ def q_id_intersect(spark, sf):
 
 
 def q_stay_ordinal(spark, sf):
+    # a fact table: one customer may hold a large share of the orders
     o = _t(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-    return ordinal(o, ["o_custkey"], [F.col("o_orderdate").asc_nulls_first(), F.col("o_orderkey")],
-                   "ordinal").select("o_orderkey", "o_custkey", "ordinal")
+    return ordinal_skew_safe(o, ["o_custkey"], "o_orderdate", ["o_orderkey"],
+                             "ordinal").select("o_orderkey", "o_custkey", "ordinal")
 
 
 def _ship(spark, sf):

@@ -64,6 +64,18 @@ def last_per_group(df: DataFrame, keys: Sequence[str], time_col: str,
 def ordinal(df: DataFrame, partition: Sequence[str], order: Sequence[Column],
             name: str = "ordinal") -> DataFrame:
     """``row_number()`` within ``partition`` (BIGINT).  Intended for
-    dimension-sized partitions such as the stays of one subject."""
+    dimension-sized partitions such as the stays of one subject; for fact
+    tables with possibly huge groups use :func:`ordinal_skew_safe`."""
     w = Window.partitionBy(*partition).orderBy(*order)
     return df.withColumn(name, F.row_number().over(w).cast("bigint"))
+
+
+def ordinal_skew_safe(df: DataFrame, partition: Sequence[str], order_col: str,
+                      ties: Sequence[str] = (), name: str = "ordinal",
+                      rows_per_task: int = 2_000_000) -> DataFrame:
+    """1-based ``row_number()`` ordered by ``order_col`` (ascending, NULLs
+    first) then ``ties``, computed without a per-group partition (see
+    :mod:`chartgrid.operators.positions`)."""
+    from .positions import positions
+    p = positions(df, partition, order_col, ties, name="__pos", rows_per_task=rows_per_task)
+    return p.withColumn(name, F.col("__pos") + F.lit(1)).drop("__pos")

@@ -3,7 +3,11 @@
 Window ``i`` of an entity holds rows ``[i, i+L)`` and is labelled with the
 label of row ``i+L``; an entity with ``n`` rows yields ``max(0, n-L)``
 windows.  Built from ``collect_list`` over a bounded ROWS frame and
-``lead`` -- every task only ever holds ``L`` rows of context.
+``lead``.  ``sliding_windows_skew_safe`` first numbers the rows with
+:func:`chartgrid.operators.positions.positions` and cuts each entity into
+blocks of ``block`` positions; the ``L`` rows after a block are copied into
+it, so every window is complete inside one (entity, block) partition and a
+huge entity is spread over many tasks.
 """
 from __future__ import annotations
 
@@ -27,6 +31,27 @@ def sliding_windows(df: DataFrame, entity: str, order: str, features: Sequence[s
               .select(entity, F.col(order).alias("start"), "seq", F.col("__y").alias("label")))
 
 
+def sliding_windows_skew_safe(df: DataFrame, entity: str, order: str, features: Sequence[str],
+                              label: str, length: int, block: int = 100_000,
+                              rows_per_task: int = 2_000_000) -> DataFrame:
+    """Same output as :func:`sliding_windows`, without a per-entity partition."""
+    from .positions import positions
+    p = positions(df.select(entity, order, label, *features), [entity], order, name="__p",
+                  rows_per_task=rows_per_task)
+    blk = F.floor(F.col("__p") / F.lit(block))
+    # a row is used by its own block and, when it is among the first L rows of
+    # its block, by the previous block (as the tail of that block's windows)
+    owners = F.when((F.col("__p") % F.lit(block) < F.lit(length)) & (blk > 0),
+                    F.array(blk, blk - 1)).otherwise(F.array(blk))
+    x = p.withColumn("__blk", F.explode(owners))
+    w = Window.partitionBy(entity, "__blk").orderBy("__p")
+    step = F.array(*[F.col(f).cast("double") for f in features])
+    return (x.withColumn("seq", F.collect_list(step).over(w.rowsBetween(0, length - 1)))
+             .withColumn("__y", F.lead(label, length).over(w))
+             .where(F.col("__y").isNotNull() & (F.floor(F.col("__p") / F.lit(block)) == F.col("__blk")))
+             .select(entity, F.col(order).alias("start"), "seq", F.col("__y").alias("label")))
+
+
 def windows_long(windows: DataFrame, entity: str, features: Sequence[str]) -> DataFrame:
     """Unnest windows to one row per (entity, start, step) with feature columns."""
     x = windows.select(entity, "start", "label", F.posexplode("seq").alias("step", "__v"))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..operators.grid import hour_grid
 from ..operators.quality import complete_entities, exact_length_entities
 from ..operators.sample import hash_split, median_impute, oversample
-from ..operators.sequence import sliding_windows
+from ..operators.sequence import sliding_windows_skew_safe
 
 DAILY_FEATURES = ("avg_value", "min_value", "max_value", "sum_value", "n_events", "n_types")
 
@@ -76,5 +76,5 @@ class SequencePrep:
         return oversample(tr, self.entity, self.label, self.copies, self.id_offset)
 
     def windows(self, df: DataFrame) -> DataFrame:
-        return sliding_windows(df, self.entity, self.order, list(self.features), self.label,
-                               self.length)
+        return sliding_windows_skew_safe(df, self.entity, self.order, list(self.features),
+                                         self.label, self.length)
