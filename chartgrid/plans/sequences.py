@@ -57,6 +57,7 @@ class SequencePrep:
     seed: int = 0
     copies: int = 6
     id_offset: int = 100000
+    median_fit_on: str = "all"      # "all" (as published: before the split) or "train"
 
     def complete(self, df: DataFrame) -> DataFrame:
         return complete_entities(df, self.entity, list(self.features), self.threshold)
@@ -66,6 +67,10 @@ class SequencePrep:
 
     def imputed(self, df: DataFrame) -> DataFrame:
         ex = self.exact(df)
+        if self.median_fit_on == "train":
+            fit = hash_split(ex, self.entity, self.train_fraction, self.seed).where(
+                F.col("split") == "train")
+            return median_impute(ex, list(self.features), fit_df=fit)
         return median_impute(ex, list(self.features))
 
     def split(self, imputed: DataFrame) -> DataFrame:

@@ -47,16 +47,18 @@ def lab_codes() -> list[int]:
     return out
 
 
-def labs_hourly(labevents: DataFrame, kept: DataFrame) -> DataFrame:
+def labs_hourly(labevents: DataFrame, kept: DataFrame, per_stay: bool = False) -> DataFrame:
     """(hadm_id, hr) -> 19 lab averages.  Lab rows carry only the admission,
     so each row is placed on the hour grid of every kept stay of that
-    admission and the groups mix those stays (as published)."""
+    admission and the groups mix those stays (as published).  With
+    ``per_stay=True`` the groups are (icustay_id, hr) instead."""
+    stays = kept.select("hadm_id", "icustay_id", "intime") if per_stay else _stay_time(kept, "hadm_id")
     le = (labevents.where(F.col("itemid").isin(*lab_codes()) & F.col("valuenum").isNotNull()
                           & (F.col("valuenum") > 0))
           .select("hadm_id", "charttime", "itemid", "valuenum")
-          .join(_stay_time(kept, "hadm_id"), "hadm_id")
+          .join(stays, "hadm_id")
           .withColumn("hr", hour_diff("charttime", "intime")))
-    return pivot_agg(le, ["hadm_id", "hr"], lab_concepts())
+    return pivot_agg(le, ["icustay_id" if per_stay else "hadm_id", "hr"], lab_concepts())
 
 
 def plausibility_clip(labevents: DataFrame) -> DataFrame:

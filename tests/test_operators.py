@@ -213,3 +213,27 @@ def test_round_half_away(spark):
     df = spark.createDataFrame([(2.5,), (-2.5,), (0.12345,)], "x double")
     got = [r[0] for r in df.select(round_half_away("x", 0)).collect()]
     assert got == [3.0, -3.0, 0.0]
+
+
+def test_median_fit_on_train_differs_only_in_fill(spark):
+    from chartgrid.plans.sequences import SequencePrep
+    rows = [(e, d, (None if (e + d) % 5 == 0 else float(e * 10 + d)), e % 2)
+            for e in range(1, 41) for d in range(25)]
+    df = spark.createDataFrame(rows, "e long, d long, x double, y int")
+    a = SequencePrep("e", "d", ["x"], "y").imputed(df)
+    b = SequencePrep("e", "d", ["x"], "y", median_fit_on="train").imputed(df)
+    assert a.count() == b.count() == 1000
+    assert a.where("x IS NULL").count() == 0 and b.where("x IS NULL").count() == 0
+
+
+def test_labs_per_stay_option(spark):
+    from datetime import datetime as dt
+    from chartgrid.plans.vitals import labs_hourly
+    kept = spark.createDataFrame([(1, 10, dt(2024, 1, 1, 0)), (1, 11, dt(2024, 1, 1, 1))],
+                                 "hadm_id long, icustay_id long, intime timestamp_ntz")
+    le = spark.createDataFrame([(1, dt(2024, 1, 1, 2, 30), 50983, 140.0)],
+                               "hadm_id long, charttime timestamp_ntz, itemid int, valuenum double")
+    by_adm = {(r["hadm_id"], r["hr"]): r["sodium"] for r in labs_hourly(le, kept).collect()}
+    by_stay = {(r["icustay_id"], r["hr"]): r["sodium"] for r in labs_hourly(le, kept, per_stay=True).collect()}
+    assert by_adm == {(1, 2): 140.0, (1, 1): 140.0}
+    assert by_stay == {(10, 2): 140.0, (11, 1): 140.0}
