@@ -45,11 +45,20 @@ def lab_and_gas_codes() -> list:
 
 class IcuPipeline:
     def __init__(self, src: IcuSources, null_safe_error: bool = False, persist: bool = True):
-        if persist:
-            src = slim_sources(src, chart_codes(), lab_and_gas_codes(), K.URINE_CODES)
         self.src = src
         self.null_safe_error = null_safe_error
         self._persist = persist
+        self._shared = False
+
+    def _share_scans(self) -> None:
+        """Before a multi-side result: read each event table once (persisted
+        item/column slice) instead of once per side."""
+        if not self._persist or self._shared:
+            return
+        self.src = slim_sources(self.src, chart_codes(), lab_and_gas_codes(), K.URINE_CODES)
+        for name in ("bounds", "cohort", "kept", "grid", "vitals", "gcs", "urine", "labs", "art_bg"):
+            self.__dict__.pop(name, None)
+        self._shared = True
 
     def unpersist(self) -> None:
         """Release the persisted slices and cohort."""
@@ -116,6 +125,7 @@ class IcuPipeline:
         stay contributes at most (hours x sides) rows to the shuffle, so even
         a stay holding a large share of the raw events is bounded here.
         """
+        self._share_scans()
         sides = {
             "vit": lambda: self.vitals,
             "gcs": lambda: self.gcs,
