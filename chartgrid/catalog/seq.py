@@ -53,7 +53,9 @@ def q_oversample(spark, sf):
 
 
 def q_sequence_windows(spark, sf):
-    sp = PREP.split(PREP.imputed(series(spark, sf)))
+    from pyspark import StorageLevel
+    # train windows, test windows and the split column all read the prepared rows
+    sp = PREP.split(PREP.imputed(series(spark, sf))).persist(StorageLevel.MEMORY_AND_DISK)
     train = PREP.train_oversampled(sp).drop("copy")
     test = sp.where(F.col("split") == "test").drop("split")
     w = PREP.windows(train).withColumn("split", F.lit("train")).unionByName(

@@ -12,6 +12,9 @@ quantile cut points, computed for the hot groups only):
 4. bucket sizes -> bucket offsets (a window over <= buckets rows per group);
 5. ``row_number`` within (group, bucket) + offset.
 
+When no group exceeds the limit (checked with one small aggregate) the plain
+per-group window is used.
+
 The cut points only decide how work is split; positions are exact.  The
 order key must be numeric, a timestamp or a date; ``ties`` complete the
 order inside equal keys.
@@ -36,6 +39,11 @@ def _numeric(df: DataFrame, c: str):
     return F.col(c).cast("double")
 
 
+def largest_group(sizes: DataFrame) -> int:
+    """Row count of the largest group (one aggregate, one number to the driver)."""
+    return sizes.agg(F.max("count")).first()[0] or 0
+
+
 def positions(df: DataFrame, keys: Sequence[str], order_col: str, ties: Sequence[str] = (),
               name: str = "pos", rows_per_task: int = 2_000_000, buckets: int = 64,
               bucket_col: str | None = None) -> DataFrame:
@@ -46,6 +54,12 @@ def positions(df: DataFrame, keys: Sequence[str], order_col: str, ties: Sequence
     o = "__pos_o"
     x = df.withColumn(o, _numeric(df, order_col))
     sizes = x.groupBy(*keys).count()
+    if largest_group(sizes) <= rows_per_task:
+        # every group fits one task: the plain window is the cheaper plan
+        w = Window.partitionBy(*keys).orderBy(F.col(o).asc_nulls_first(),
+                                              *[F.col(t).asc_nulls_first() for t in ties])
+        out = x.withColumn(name, (F.row_number().over(w) - 1).cast("bigint")).drop(o)
+        return out.withColumn(bucket_col, F.lit(0)) if bucket_col else out
     hot = sizes.where(F.col("count") > rows_per_task).select(*keys)
     probs = [i / buckets for i in range(1, buckets)]
     cuts = (x.join(hot, keys, "left_semi")

@@ -35,9 +35,11 @@ def sliding_windows_skew_safe(df: DataFrame, entity: str, order: str, features:
                               label: str, length: int, block: int = 100_000,
                               rows_per_task: int = 2_000_000) -> DataFrame:
     """Same output as :func:`sliding_windows`, without a per-entity partition."""
-    from .positions import positions
-    p = positions(df.select(entity, order, label, *features), [entity], order, name="__p",
-                  rows_per_task=rows_per_task)
+    from .positions import largest_group, positions
+    base = df.select(entity, order, label, *features)
+    if largest_group(base.groupBy(entity).count()) <= rows_per_task:
+        return sliding_windows(base, entity, order, features, label, length)
+    p = positions(base, [entity], order, name="__p", rows_per_task=rows_per_task)
     blk = F.floor(F.col("__p") / F.lit(block))
     # a row is used by its own block and, when it is among the first L rows of
     # its block, by the previous block (as the tail of that block's windows)
