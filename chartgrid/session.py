@@ -51,13 +51,16 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 
-    Only when the setting is absent (local tests) a private folder is
-    created; on a cluster the configured shared folder is always used.
+    Only when the setting is absent on a local master (tests) a private
+    folder is created; on a cluster the setting is required.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="chartgrid-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: lineage cuts and "
+                               "written intermediates must survive the loss of a machine")
+        d = tempfile.mkdtemp(prefix="chartgrid-ckpt-")   # single-machine runs / tests only
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
