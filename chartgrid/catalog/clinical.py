@@ -89,7 +89,13 @@ def q_gas_indices(spark, sf):
                                                   "pao2fio2ratio"))
 
 
+def q_matrix_null_profile(spark, sf):
+    from ..operators.quality import null_profile
+    return null_profile(_pipe(spark, sf).matrix(48))
+
+
 QUERIES = {
+    "matrix_null_profile": q_matrix_null_profile,
     "specimen_prob": q_specimen_prob,
     "gas_indices": q_gas_indices,
     "stay_bounds": q_stay_bounds,

@@ -29,7 +29,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     that follows runs in parallel.  Hashing on the entity key also leaves the
     rows clustered for later per-entity aggregates.  Scans that are already
     split widely (large tables) are returned unchanged: no extra shuffle."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= slots:
+            return df
+    except Exception:      # no RDD view (e.g. a remote session): leave the scan as is
         return df
     return df.repartition(slots, *keys) if keys else df.repartition(slots)
