@@ -56,3 +56,17 @@ def schema_profile(df: DataFrame) -> list[tuple[str, int]]:
 
 def columns_of_type(df: DataFrame, *types) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, types)]
+
+
+def complete_exact_entities(df: DataFrame, entity: str, features: Sequence[str],
+                            threshold: float, n: int) -> DataFrame:
+    """``exact_length_entities(complete_entities(df, ...), n)`` in one pass:
+    the completeness filter keeps or drops whole entities, so the row count
+    of a kept entity is unchanged and both rules can be tested on one
+    per-entity aggregate (one shuffle, one semi-join)."""
+    stats = df.groupBy(entity).agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.avg(is_missing(df, f).cast("double")).alias(f) for f in features])
+    worst = F.greatest(*[F.col(f) for f in features]) if len(features) > 1 else F.col(features[0])
+    ok = stats.where((worst < F.lit(threshold)) & (F.col("__n") == n)).select(entity)
+    return df.join(ok, entity, "left_semi")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.grid import hour_grid
-from ..operators.quality import complete_entities, exact_length_entities
+from ..operators.quality import complete_entities, complete_exact_entities
 from ..operators.sample import hash_split, median_impute, oversample
 from ..operators.sequence import sliding_windows_skew_safe
 
@@ -63,7 +63,8 @@ class SequencePrep:
         return complete_entities(df, self.entity, list(self.features), self.threshold)
 
     def exact(self, df: DataFrame) -> DataFrame:
-        return exact_length_entities(self.complete(df), self.entity, self.n_rows)
+        return complete_exact_entities(df, self.entity, list(self.features), self.threshold,
+                                       self.n_rows)
 
     def imputed(self, df: DataFrame) -> DataFrame:
         ex = self.exact(df)

@@ -237,3 +237,14 @@ def test_labs_per_stay_option(spark):
     by_stay = {(r["icustay_id"], r["hr"]): r["sodium"] for r in labs_hourly(le, kept, per_stay=True).collect()}
     assert by_adm == {(1, 2): 140.0, (1, 1): 140.0}
     assert by_stay == {(10, 2): 140.0, (11, 1): 140.0}
+
+
+def test_fused_complete_exact_equals_chain(spark):
+    from chartgrid.operators.quality import complete_exact_entities
+    rows = [(e, h, None if (e * 7 + h) % (e + 2) == 0 else float(h)) for e in range(1, 15)
+            for h in range(20 + e % 3)]
+    df = spark.createDataFrame(rows, "e long, h long, x double")
+    a = exact_length_entities(complete_entities(df, "e", ["x"], 0.3), "e", 21)
+    b = complete_exact_entities(df, "e", ["x"], 0.3, 21)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert b.count() > 0
