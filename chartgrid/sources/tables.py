@@ -22,17 +22,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> Dat
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
 
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-distribute a scan that arrived in fewer partitions than the
-    cluster has task slots (one small file = one split), so the per-row work
-    that follows runs in parallel.  Hashing on the entity key also leaves the
-    rows clustered for later per-entity aggregates.  Scans that are already
-    split widely (large tables) are returned unchanged: no extra shuffle."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= slots:
-            return df
-    except Exception:      # no RDD view (e.g. a remote session): leave the scan as is
-        return df
-    return df.repartition(slots, *keys) if keys else df.repartition(slots)
