@@ -44,16 +44,20 @@ def lab_and_gas_codes() -> list:
 
 
 class IcuPipeline:
-    def __init__(self, src: IcuSources, null_safe_error: bool = False, persist: bool = True):
+    def __init__(self, src: IcuSources, null_safe_error: bool = False, persist: bool = True,
+                 share_scans: bool = False):
         self.src = src
         self.null_safe_error = null_safe_error
         self._persist = persist
+        self._share = share_scans
         self._shared = False
 
     def _share_scans(self) -> None:
-        """Before a multi-side result: read each event table once (persisted
-        item/column slice) instead of once per side."""
-        if not self._persist or self._shared:
+        """Before a multi-side result, optionally read each event table once
+        (persisted item/column slice) instead of once per side.  Off by
+        default: with selective pushed-down scans, re-reading measured
+        cheaper than building the cache (see PLANS.md)."""
+        if not self._share or self._shared:
             return
         self.src = slim_sources(self.src, chart_codes(), lab_and_gas_codes(), K.URINE_CODES)
         for name in ("bounds", "cohort", "kept", "grid", "vitals", "gcs", "urine", "labs", "art_bg"):
