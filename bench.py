@@ -1,8 +1,10 @@
 """Benchmark: run the headline queries and print one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_QUERIES (comma list, optional).  Every query is fully executed with the
-``noop`` sink (all rows computed, nothing collected on the driver).
+BENCH_QUERIES (comma list, optional), BENCH_SHUFFLE_PARTITIONS, BENCH_EXTRA_CONF
+(JSON).  Every query is fully executed with the ``noop`` sink (all rows
+computed, nothing collected on the driver), cold: the cache is cleared before
+each query.
 """
 from __future__ import annotations
 

@@ -5,7 +5,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.assemble import IcuPipeline
-from ..plans.cohort import stay_numbers
 from ..plans.bloodgas import bg_panel
 from ..sources.fixtures import icu_sources
 from .common import rounded
@@ -28,13 +27,12 @@ def q_hour_grid(spark, sf):
 
 
 def q_stay_ordinal_icu(spark, sf):
+    from ..operators.rank import ordinal
     p = _pipe(spark, sf)
     # all stays, including those without heart-rate rows (NULL id), as in the source CTE
-    from ..plans.cohort import ordinal  # noqa: F401
     icu = p.src.icustays.select("subject_id", "icustay_id").join(p.bounds, "icustay_id", "left")
-    from ..operators.rank import ordinal as _ord
-    icu = _ord(icu, ["subject_id"], [F.col("intime_hr").asc_nulls_first(), F.col("icustay_id")],
-               "icustay_num")
+    icu = ordinal(icu, ["subject_id"], [F.col("intime_hr").asc_nulls_first(), F.col("icustay_id")],
+                  "icustay_num")
     return icu.select("subject_id",
                       F.when(F.col("intime_hr").isNotNull(), F.col("icustay_id")).alias("icustay_id"),
                       "icustay_num")
