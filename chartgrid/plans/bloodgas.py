@@ -86,6 +86,11 @@ def gas_with_context(labevents: DataFrame, chartevents: DataFrame, kept: DataFra
     bg = bg_panel(labevents).where(F.col("po2").isNotNull())
     bg = (bg.join(first_kept_stay(kept), "hadm_id")
             .withColumn("hr", hour_diff("charttime", "intime")).drop("intime", "icustay_id"))
+    return _attach_charted(bg, chartevents)
+
+
+def _attach_charted(bg: DataFrame, chartevents: DataFrame) -> DataFrame:
+    """Latest charted SpO2 (2 h) and latest positive charted FiO2 (4 h)."""
     bg = asof_lookback(bg, spo2_charted(chartevents), ["hadm_id"], "charttime", "charttime",
                        ["spo2"], K.SPO2_LOOKBACK_HOURS * 3600)
     fio2 = fio2_charted(chartevents).where(F.col("fio2_chartevents") > 0)
@@ -103,8 +108,13 @@ def art_bg(labevents: DataFrame, chartevents: DataFrame, kept: DataFrame) -> Dat
     the latest gas is kept, and it is kept only if its specimen is arterial
     or the predicted probability exceeds 0.75.
     """
-    bg = last_per_group(gas_with_context(labevents, chartevents, kept), ["hadm_id", "hr"],
-                        "charttime")
+    # The latest gas of each hour depends on charttime only, so it is chosen
+    # before the look-backs: identical result, and the as-of joins only see
+    # the gases that are kept.
+    bg = bg_panel(labevents).where(F.col("po2").isNotNull())
+    bg = (bg.join(first_kept_stay(kept), "hadm_id")
+            .withColumn("hr", hour_diff("charttime", "intime")).drop("intime", "icustay_id"))
+    bg = _attach_charted(last_per_group(bg, ["hadm_id", "hr"], "charttime"), chartevents)
     bg = bg.withColumn("specimen_prob", specimen_probability())
     bg = bg.where((F.col("specimen") == "ART") | (F.col("specimen_prob") > K.SPECIMEN_THRESHOLD))
     fio2_any = F.coalesce(F.col("fio2"), F.col("fio2_chartevents"))
