@@ -1,7 +1,11 @@
 """Small helpers shared by the operators of this package."""
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +39,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def _ship(spark: SparkSession) -> None:
+    """Hand the package to the executors where they would not find it themselves
+    (neither PYTHONPATH nor the working folder has it), as ``--py-files`` would."""
+    root, sc = Path(__file__).resolve().parents[2], spark.sparkContext
+    known = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]
+    if sc.applicationId in _shipped or any(p and Path(p).resolve() == root for p in known):
+        return
+    own = _shipped[sc.applicationId] = tempfile.TemporaryDirectory()    # the driver's; Spark serves the file
+    sc.addPyFile(shutil.make_archive(f"{own.name}/chartgrid", "zip", root, "chartgrid"))
+
+
 def map_rows(df: DataFrame, schema: str, rows: Callable[[Iterable[dict]], Iterator[tuple]],
              chunk: int = 4096) -> DataFrame:
     """``mapInArrow`` for a function from an iterator of column lists to tuples.
@@ -45,6 +63,7 @@ def map_rows(df: DataFrame, schema: str, rows: Callable[[Iterable[dict]], Iterat
     from pyspark.sql.types import StructType, _parse_datatype_string
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    _ship(df.sparkSession)
     parsed = _parse_datatype_string(schema)
     assert isinstance(parsed, StructType)
     arrow = to_arrow_schema(parsed)

@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chatformat, secrets, tokenfile, urlfilter
+from . import bpe, chatformat, decontaminate, secrets, simhash, tokenfile, toxicity, urlfilter
 from .common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -16,6 +16,11 @@ RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.
 PLANTED_TURNS = ((-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]"))
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     rows = rows.unionByName(spark.createDataFrame(list(PLANTED_TURNS), rows.schema))
@@ -31,11 +36,20 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.length("formatted").cast("long").alias("formatted_chars")))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(RULES), "host string, path string, verdict string")
     return urlfilter.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = tokenfile.write_token_files(table(spark, sf_dir, "documents"), WORD_BPE,
                                            tokenfile.new_folder(spark), END_ID)
@@ -56,8 +70,8 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op3_chat_formatting, op5_url_filters, op8_token_id_output,
-        op9_bpe_encode_decode, op10_secret_scans)}
+        op2_simhash_near_dedup, op3_chat_formatting, op4_benchmark_decontamination,
+        op5_url_filters, op6_toxicity, op8_token_id_output, op9_bpe_encode_decode, op10_secret_scans)}
 
 
 def oracles() -> dict[str, str]:
