@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chatformat, decontaminate, secrets, simhash, tokenfile, toxicity, urlfilter
+from . import bpe, capfilter, chatformat, decontaminate, secrets, simhash, tokenfile, toxicity, urlfilter
 from .common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -16,6 +16,10 @@ RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.
 PLANTED_TURNS = ((-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]"))
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capfilter.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
@@ -70,7 +74,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op2_simhash_near_dedup, op3_chat_formatting, op4_benchmark_decontamination,
+        op1_embedding_near_dedup, op2_simhash_near_dedup, op3_chat_formatting, op4_benchmark_decontamination,
         op5_url_filters, op6_toxicity, op8_token_id_output, op9_bpe_encode_decode, op10_secret_scans)}
 
 
