@@ -42,7 +42,7 @@ def cut(df: DataFrame) -> DataFrame:
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
 
-def _ship(spark: SparkSession) -> None:
+def ship(spark: SparkSession) -> None:
     """Hand the package to the executors where they would not find it themselves
     (neither PYTHONPATH nor the working folder has it), as ``--py-files`` would."""
     root, sc = Path(__file__).resolve().parents[2], spark.sparkContext
@@ -63,7 +63,7 @@ def map_rows(df: DataFrame, schema: str, rows: Callable[[Iterable[dict]], Iterat
     from pyspark.sql.types import StructType, _parse_datatype_string
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    _ship(df.sparkSession)
+    ship(df.sparkSession)
     parsed = _parse_datatype_string(schema)
     assert isinstance(parsed, StructType)
     arrow = to_arrow_schema(parsed)
@@ -87,4 +87,4 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
         [pa.array(c, type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
-__all__ = ["table", "ascii_lower", "keep", "cut", "map_rows"]
+__all__ = ["table", "ascii_lower", "keep", "cut", "ship", "map_rows"]

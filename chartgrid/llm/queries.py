@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, capfilter, chatformat, decontaminate, secrets, simhash, tokenfile, toxicity, urlfilter
+from . import bpe, capfilter, chatformat, decontaminate, secrets, simhash, suffixdedup, tokenfile, toxicity, urlfilter
 from .common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -54,6 +54,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixdedup.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+    return out.drop("spans").withColumnRenamed("kept", "kept_sha256")
+
+
 def op8_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = tokenfile.write_token_files(table(spark, sf_dir, "documents"), WORD_BPE,
                                            tokenfile.new_folder(spark), END_ID)
@@ -75,7 +80,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_embedding_near_dedup, op2_simhash_near_dedup, op3_chat_formatting, op4_benchmark_decontamination,
-        op5_url_filters, op6_toxicity, op8_token_id_output, op9_bpe_encode_decode, op10_secret_scans)}
+        op5_url_filters, op6_toxicity, op7_suffix_array_dedup, op8_token_id_output, op9_bpe_encode_decode, op10_secret_scans)}
 
 
 def oracles() -> dict[str, str]:
