@@ -146,7 +146,7 @@ class LibraryIds:
     normalizer and pre-tokenizer do it; the library encodes each new word, and a
     bounded memo keeps the words that were encoded."""
 
-    MEMO, PART = 800_000, 200_000
+    MEMO, PART, BATCH = 250_000, 50_000, 5_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -159,12 +159,13 @@ class LibraryIds:
         self.memo: dict = {}
 
     def _learn(self, units: list) -> None:
-        words = [self.split.words(u) for u in units]
-        flat = [w for ws in words for w in ws if w.__class__ is str]
-        coded = iter(self.words.encode_batch_fast(flat, add_special_tokens=False))
-        for u, ws in zip(units, words):
-            ids = [i for w in ws for i in (next(coded).ids if w.__class__ is str else [w])]
-            self.memo[u] = array("I", ids).tobytes()
+        for k in range(0, len(units), self.BATCH):
+            words = [(u, self.split.words(u)) for u in units[k:k + self.BATCH]]
+            flat = [w for _, ws in words for w in ws if w.__class__ is str]
+            coded = iter(self.words.encode_batch_fast(flat, add_special_tokens=False))
+            for u, ws in words:
+                ids = [i for w in ws for i in (next(coded).ids if w.__class__ is str else [w])]
+                self.memo[u] = array("I", ids).tobytes()
 
     def __call__(self, text: bytes) -> np.ndarray:
         units, out = self.split.units(text), []
