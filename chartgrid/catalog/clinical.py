@@ -70,6 +70,18 @@ def q_stay_rollup(spark, sf):
     return rounded(_pipe(spark, sf).matrix(48))
 
 
+def q_matrix_24h(spark, sf):
+    return rounded(_pipe(spark, sf).matrix(24))
+
+
+def q_matrix_12h(spark, sf):
+    return rounded(_pipe(spark, sf).matrix(12))
+
+
+def q_matrix_6h(spark, sf):
+    return rounded(_pipe(spark, sf).matrix(6))
+
+
 def q_sequence_extract(spark, sf):
     return rounded(_pipe(spark, sf).sequences(24))
 
@@ -108,5 +120,8 @@ QUERIES = {
     "art_bg": q_art_bg,
     "hourly_wide": q_hourly_wide,
     "stay_rollup": q_stay_rollup,
+    "matrix_24h": q_matrix_24h,
+    "matrix_12h": q_matrix_12h,
+    "matrix_6h": q_matrix_6h,
     "sequence_extract": q_sequence_extract,
 }

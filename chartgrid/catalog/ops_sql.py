@@ -1,52 +1,39 @@
-"""DuckDB oracle for the single-operator keys (written in plain SQL forms:
-range joins + ranking for look-backs, self joins on row numbers for lag,
-``row_number() = 1`` for best rows)."""
+"""DuckDB oracle for the single-operator keys: plain SQL, with joins to small rule
+tables where the operator maps codes or checks limits."""
 from __future__ import annotations
 
-from ..plans import concepts as K
 from ..sources.fixture_sql import with_views
+from . import oracle_values as V
+from .clinical_sql import FIO2, LABS, VITALS
 from .sqlkit import in_list, rounded
 
-
-def _labs_sql() -> str:
-    labels, clips, codes = [], [], []
-    for name, cs, hi, lo in K.LABS:
-        for c in cs:
-            codes.append(c)
-            labels.append(f"WHEN itemid = {c} THEN '{name}'")
-            if lo is not None:
-                clips.append(f"WHEN itemid = {c} AND valuenum < {lo} THEN NULL")
-            clips.append(f"WHEN itemid = {c} AND valuenum > {hi} THEN NULL")
-    return with_views(f"""SELECT hadm_id, charttime, itemid,
-  CASE {' '.join(labels)} END AS label,
-  CASE {' '.join(clips)} ELSE valuenum END AS valuenum
-FROM labevents WHERE itemid IN {in_list(codes)} AND valuenum IS NOT NULL AND valuenum > 0""",
-                      ("labevents",))
+#: The rule tables alone, without the steps of the clinical chain that use them.
+LAB_LIMIT = LABS[:LABS.index(",\nlab AS")]
+VITAL_RULE = VITALS[:VITALS.index(",\nvitals AS")]
+COMA_RULE = """coma_rule(itemid, part, answer, stands_for) AS (VALUES
+  (723, 723, '1.0 ET/Trach', 0), (223900, 723, 'No Response-ETT', 0), (454, 454, NULL, NULL),
+  (223901, 454, NULL, NULL), (184, 184, NULL, NULL), (220739, 184, NULL, NULL))"""
 
 
 SHIP = """FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
 
 CARRY = """
-WITH e AS (SELECT event_id, user_id, ts, event_type, value,
-  row_number() OVER (PARTITION BY user_id ORDER BY ts) AS rn FROM events)
-SELECT a.event_id, a.user_id, a.ts, a.value, b.value AS prev_value, b.event_type AS prev_event_type
-FROM e a LEFT JOIN e b ON a.user_id = b.user_id AND a.rn = b.rn + 1
- AND b.ts > a.ts - INTERVAL 6 HOUR"""
+SELECT event_id, user_id, ts, value, if(recent, before.value, NULL) AS prev_value,
+  if(recent, before.event_type, NULL) AS prev_event_type
+FROM (SELECT *, lag(events) OVER w AS before, ts - lag(ts) OVER w < INTERVAL 6 HOUR AS recent
+      FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)) AS e"""
 
 
 def _asof(hours: int, right_filter: str) -> str:
     return f"""
-WITH p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
-c AS (SELECT user_id, ts, value FROM events WHERE event_type = 'click' {right_filter}),
-j AS (SELECT p.event_id, p.user_id, p.ts, c.value AS click_value, c.ts AS click_ts,
-  row_number() OVER (PARTITION BY p.event_id ORDER BY c.ts DESC) AS r
-  FROM p LEFT JOIN c ON p.user_id = c.user_id
-   AND c.ts BETWEEN p.ts - INTERVAL {hours} HOUR AND p.ts)
-SELECT event_id, user_id, ts, click_value, click_ts FROM j WHERE r = 1"""
+SELECT p.event_id, p.user_id, p.ts, if(near, c.value, NULL) AS click_value, if(near, c.ts, NULL) AS click_ts
+FROM (FROM events WHERE event_type = 'purchase') p
+ASOF LEFT JOIN (SELECT user_id, ts, value, true AS found FROM events WHERE event_type = 'click' {right_filter}) c
+  ON p.user_id = c.user_id AND p.ts >= c.ts,
+LATERAL (SELECT found AND p.ts - c.ts <= INTERVAL {hours} HOUR AS near)"""
 
 
 def oracles() -> dict[str, str]:
-    temp_codes = (223761, 678, 223762, 676)
     return {
         "scan_project": rounded("""SELECT l_orderkey AS order_id, l_linenumber AS line, l_quantity AS qty,
   l_extendedprice * (1 - l_discount) AS revenue, l_returnflag AS returnflag FROM lineitem""",
@@ -56,7 +43,7 @@ def oracles() -> dict[str, str]:
         "csv_roundtrip": with_views("SELECT hadm_id, ethnicity, admission_type, hospital_expire_flag FROM admissions",
                                     ("admissions",)),
         "filter_in_list": rounded(with_views(
-            f"SELECT icustay_id, charttime, itemid, valuenum FROM chartevents WHERE itemid IN {in_list(K.VITAL_CODES)}",
+            f"SELECT icustay_id, charttime, itemid, valuenum FROM chartevents WHERE itemid IN {in_list(sorted({c for r in V.VITAL_RULES for c in r[1]}))}",
             ("chartevents",)), ["valuenum"]),
         "filter_range": rounded("""SELECT l_orderkey, l_linenumber, l_discount, l_quantity FROM lineitem
 WHERE l_discount > 0.02 AND l_discount <= 0.06 AND l_quantity BETWEEN 10 AND 20""",
@@ -68,31 +55,19 @@ WHERE l_discount > 0.02 AND l_discount <= 0.06 AND l_quantity BETWEEN 10 AND 20"
   CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END AS urgent,
   CASE WHEN o_orderstatus = 'F' OR o_totalprice < 1000 THEN 1 ELSE 0 END AS closed_or_small
 FROM orders""",
-        "fio2_normalise": rounded(with_views("""SELECT hadm_id, charttime,
-  max(CASE WHEN itemid = 223835 THEN
-            CASE WHEN valuenum > 0 AND valuenum <= 1 THEN valuenum * 100
-                 WHEN valuenum > 1 AND valuenum < 21 THEN NULL
-                 WHEN valuenum >= 21 AND valuenum <= 100 THEN valuenum ELSE NULL END
-           WHEN itemid IN (3420, 3422) THEN valuenum
-           WHEN itemid = 190 AND valuenum > 0.20 AND valuenum < 1 THEN valuenum * 100
-           ELSE NULL END) AS fio2_chartevents
-FROM chartevents
-WHERE itemid IN (3420, 190, 223835, 3422) AND valuenum > 0 AND valuenum < 100 AND error != 1
-GROUP BY hadm_id, charttime""", ("chartevents",)), ["fio2_chartevents"]),
+        "fio2_normalise": rounded(with_views(FIO2 + "\nSELECT * FROM fio2c", ("chartevents",)), ["fio2_chartevents"]),
         "like_filter": with_views("""SELECT hadm_id, diagnosis FROM admissions
 WHERE lower(diagnosis) LIKE '%organ donor%' OR lower(diagnosis) LIKE '%donor account%'""", ("admissions",)),
-        "code_to_concept": rounded(with_views("""SELECT icustay_id, charttime,
-  CASE WHEN itemid IN (723, 223900) THEN 723 WHEN itemid IN (454, 223901) THEN 454
-       WHEN itemid IN (184, 220739) THEN 184 ELSE itemid END AS itemid,
-  CASE WHEN itemid = 723 AND value = '1.0 ET/Trach' THEN 0
-       WHEN itemid = 223900 AND value = 'No Response-ETT' THEN 0 ELSE valuenum END AS valuenum
-FROM chartevents WHERE itemid IN (184, 454, 723, 223900, 223901, 220739) AND error != 1""",
-                                              ("chartevents",)), ["valuenum"]),
-        "plausibility_clip": rounded(_labs_sql(), ["valuenum"]),
-        "unit_convert": rounded(with_views(f"""SELECT icustay_id, charttime, itemid,
-  CASE WHEN itemid IN (223761, 678) AND valuenum > 70 AND valuenum < 120 THEN (valuenum - 32) / CAST(1.8 AS DOUBLE)
-       WHEN itemid IN (223762, 676) AND valuenum > 10 AND valuenum < 50 THEN valuenum END AS tempc
-FROM chartevents WHERE itemid IN {in_list(temp_codes)}""", ("chartevents",)), ["tempc"]),
+        "code_to_concept": rounded(with_views(COMA_RULE + """
+SELECT icustay_id, charttime, part AS itemid, if(value = answer, stands_for, valuenum) AS valuenum
+FROM chartevents JOIN coma_rule USING (itemid) WHERE error <> 1""", ("chartevents",)), ["valuenum"]),
+        "plausibility_clip": rounded(with_views(LAB_LIMIT + """
+SELECT hadm_id, charttime, itemid, feature AS label,
+  if(valuenum > most OR valuenum < least, NULL, valuenum) AS valuenum
+FROM labevents JOIN lab_limit USING (itemid) WHERE valuenum > 0""", ("labevents",)), ["valuenum"]),
+        "unit_convert": rounded(with_views(VITAL_RULE + """
+SELECT icustay_id, charttime, itemid, if(valuenum > above AND valuenum < below, (valuenum - shift) / scale, NULL) AS tempc
+FROM chartevents JOIN vital_rule USING (itemid) WHERE feature = 'tempc'""", ("chartevents",)), ["tempc"]),
         "interval_join": with_views("""SELECT c.icustay_id, c.charttime, c.itemid
 FROM chartevents c JOIN icustays i ON c.icustay_id = i.icustay_id
  AND c.charttime > i.intime - INTERVAL 12 HOUR AND c.charttime < i.outtime - INTERVAL 12 HOUR

@@ -18,7 +18,6 @@ def all_oracles() -> dict:
     from . import clinical_sql, metrics_sql, ops_sql, seq_sql
     out = {}
     out.update(clinical_sql.oracles())
-    out.update(clinical_sql.extra_oracles())
     out["vitals_stream"] = out["vitals"]  # same result as the batch form
     out.update(ops_sql.oracles())
     out.update(seq_sql.oracles())
