@@ -104,7 +104,13 @@ def q_matrix_null_profile(spark, sf):
     return null_profile(_pipe(spark, sf).matrix(48))
 
 
+def q_schema_profile(spark, sf):
+    from ..operators.quality import schema_profile
+    return schema_profile(_pipe(spark, sf).matrix(24))
+
+
 QUERIES = {
+    "schema_profile": q_schema_profile,
     "matrix_null_profile": q_matrix_null_profile,
     "specimen_prob": q_specimen_prob,
     "gas_indices": q_gas_indices,

@@ -1,8 +1,6 @@
 """Spark side of the data-quality, sampling and sequence keys."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators.quality import missing_fraction, null_profile
 from ..operators.sample import hash_split
 from ..operators.sequence import windows_long
@@ -53,15 +51,8 @@ def q_oversample(spark, sf):
 
 
 def q_sequence_windows(spark, sf):
-    from pyspark import StorageLevel
-    # train windows, test windows and the split column all read the prepared rows
-    sp = PREP.split(PREP.imputed(series(spark, sf))).persist(StorageLevel.MEMORY_AND_DISK)
-    train = PREP.train_oversampled(sp).drop("copy")
-    test = sp.where(F.col("split") == "test").drop("split")
-    w = PREP.windows(train).withColumn("split", F.lit("train")).unionByName(
-        PREP.windows(test).withColumn("split", F.lit("test")))
-    long = windows_long(w, "user_id", list(DAILY_FEATURES))
-    return rounded(long.join(w.select("user_id", "split").distinct(), "user_id"))
+    w = PREP.split_windows(PREP.split(PREP.imputed(series(spark, sf))))
+    return rounded(windows_long(w, ["user_id", "copy", "split"], list(DAILY_FEATURES)))
 
 
 QUERIES = {

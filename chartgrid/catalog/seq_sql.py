@@ -6,10 +6,12 @@ from .sqlkit import rounded
 F6 = ("avg_value", "min_value", "max_value", "sum_value", "n_events", "n_types")
 
 SERIES = """
-ev AS (SELECT user_id, ts, event_type, value, CAST(day(ts) - 1 AS BIGINT) AS day FROM events),
-users AS (SELECT user_id, max(CASE WHEN day(ts) >= 26 AND event_type = 'purchase' AND value > 100
-  THEN 1 ELSE 0 END) AS label FROM ev GROUP BY user_id),
-grid AS (SELECT user_id, CAST(unnest(generate_series(0, 24)) AS BIGINT) AS day, label FROM users),
+ev AS (SELECT user_id, event_type, value,
+  date_diff('day', min(ts) OVER (PARTITION BY user_id), ts) AS day
+  FROM events WHERE event_type IN ('click', 'purchase')),
+users AS (SELECT user_id, max(day) AS last, max((day >= 25 AND event_type = 'purchase' AND value > 100)::INT) AS label
+  FROM ev GROUP BY user_id),
+grid AS (SELECT user_id, unnest(range(least(last, 24) + 1)) AS day, label FROM users),
 daily AS (SELECT user_id, day, avg(value) AS avg_value, min(value) AS min_value, max(value) AS max_value,
   sum(value) AS sum_value, CAST(count(*) AS DOUBLE) AS n_events,
   CAST(count(DISTINCT event_type) AS DOUBLE) AS n_types FROM ev WHERE day < 25 GROUP BY user_id, day),
@@ -39,21 +41,19 @@ over AS (
   SELECT user_id, day, avg_value, min_value, max_value, sum_value, n_events, n_types, label, 0 AS copy
   FROM split WHERE split = 'train'
   UNION ALL
-  SELECT user_id + k * 100000, day, avg_value, min_value, max_value, sum_value, n_events, n_types, label, k
+  SELECT user_id, day, avg_value, min_value, max_value, sum_value, n_events, n_types, label, k
   FROM split, (SELECT unnest(generate_series(1, 6)) AS k) c WHERE split = 'train' AND label = 1),
 allseq AS (
-  SELECT user_id, day, avg_value, min_value, max_value, sum_value, n_events, n_types, label, 'train' AS split FROM over
-  UNION ALL
-  SELECT user_id, day, avg_value, min_value, max_value, sum_value, n_events, n_types, label, split FROM split WHERE split = 'test'),
-numbered AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY day) - 1 AS pos,
-  count(*) OVER (PARTITION BY user_id) AS n FROM allseq),
+  SELECT *, 'train' AS split FROM over
+  UNION ALL BY NAME SELECT *, 0 AS copy FROM split WHERE split = 'test'),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY user_id, copy ORDER BY day) - 1 AS pos FROM allseq),
 win AS (
   SELECT s.user_id, s.day AS start, CAST(k.step AS BIGINT) AS step, y.label AS label, r.avg_value, r.min_value,
-    r.max_value, r.sum_value, r.n_events, r.n_types, s.split
+    r.max_value, r.sum_value, r.n_events, r.n_types, s.split, s.copy
   FROM numbered s
-  JOIN numbered y ON y.user_id = s.user_id AND y.pos = s.pos + 24
+  JOIN numbered y ON y.user_id = s.user_id AND y.copy = s.copy AND y.pos = s.pos + 24
   CROSS JOIN (SELECT unnest(generate_series(0, 23)) AS step) k
-  JOIN numbered r ON r.user_id = s.user_id AND r.pos = s.pos + k.step)"""
+  JOIN numbered r ON r.user_id = s.user_id AND r.copy = s.copy AND r.pos = s.pos + k.step)"""
 
 
 def _q(select: str, doubles=()) -> str:

@@ -34,13 +34,13 @@ def numeric_columns(df: DataFrame, exclude=("label", "icustay_id")) -> list[str]
             if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
 
 
-def usable_numeric(train: DataFrame, cols: Sequence[str]) -> list[str]:
-    """Columns with at least one value in ``train`` (median imputation is
-    undefined for an all-missing column).  One aggregate row."""
+def without_values(train: DataFrame, cols: Sequence[str]) -> list[str]:
+    """Columns without any value in ``train``, for which no median exists.  One
+    aggregate row."""
     if not cols:
         return []
     row = train.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first()
-    return [c for c in cols if row[c] > 0]
+    return [c for c in cols if not row[c]]
 
 
 def feature_pipeline(categorical: Sequence[str], numeric: Sequence[str]) -> Pipeline:

@@ -18,12 +18,16 @@ from pyspark.sql import functions as F
 from ..sources.io import materialise
 
 
-def to_vectors(windows: DataFrame, entity: str) -> DataFrame:
-    return windows.select(entity, "start", F.col("label").cast("double").alias("label"),
+def _keys(entity) -> list[str]:
+    return [entity] if isinstance(entity, str) else list(entity)
+
+
+def to_vectors(windows: DataFrame, entity) -> DataFrame:
+    return windows.select(*_keys(entity), "start", F.col("label").cast("double").alias("label"),
                           array_to_vector(F.flatten("seq")).alias("raw"))
 
 
-def fit_sequence_classifier(train_windows: DataFrame, entity: str, n_steps: int, n_features: int,
+def fit_sequence_classifier(train_windows: DataFrame, entity, n_steps: int, n_features: int,
                             hidden: int = 32, max_iter: int = 50, seed: int = 0):
     tr = materialise(to_vectors(train_windows, entity), "seq_train")
     mlp = MultilayerPerceptronClassifier(featuresCol="features", labelCol="label",
@@ -33,7 +37,7 @@ def fit_sequence_classifier(train_windows: DataFrame, entity: str, n_steps: int,
     return Pipeline(stages=[scaler, mlp]).fit(tr)
 
 
-def score_windows(model, windows: DataFrame, entity: str) -> DataFrame:
+def score_windows(model, windows: DataFrame, entity) -> DataFrame:
     te = materialise(to_vectors(windows, entity), "seq_test")
-    return model.transform(te).select(entity, "start", "label", "prediction",
+    return model.transform(te).select(*_keys(entity), "start", "label", "prediction",
                                       vector_to_array("probability")[1].alias("p1"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.sample import portable_bucket, split_sides
 from ..sources.io import materialise
-from .features import CATEGORICAL, feature_pipeline, numeric_columns, prepare_matrix, usable_numeric
+from .features import CATEGORICAL, feature_pipeline, numeric_columns, prepare_matrix, without_values
 
 
 @dataclass
@@ -34,7 +34,11 @@ def prepare(matrix: DataFrame, train_fraction: float = 0.8, seed: int = 0) -> Pr
     # executor loss) instead of recomputing the whole feature chain
     df = materialise(prepare_matrix(matrix), "matrix")
     tr, te = split_sides(df, "icustay_id", train_fraction, seed)
-    num = usable_numeric(tr, numeric_columns(df))
+    num = numeric_columns(df)
+    # a column that the training side knows nothing about is 0 throughout: it
+    # keeps its place in the feature vector, whatever the data
+    unknown = {c: F.lit(0.0) for c in without_values(tr, num)}
+    tr, te = tr.withColumns(unknown), te.withColumns(unknown)
     cats = [c for c in CATEGORICAL if c in df.columns]
     pm = feature_pipeline(cats, num).fit(tr)
     keep = ["icustay_id", "label", "features"]

@@ -12,7 +12,9 @@ width equals the tolerance, and each right row is also copied into the next
 bucket.  A left row in bucket ``b`` can only match right rows of buckets
 ``b-1`` and ``b``, both of which are in its partition, so the result is exact
 while one hot key is spread over as many tasks as its time span has buckets.
-The right side must be unique per (keys, time) -- pre-aggregate it first.
+Of right rows with equal keys and time the one with the greatest values (in
+the order given) wins.  A NULL key matches nothing, as in a join: such right
+rows are dropped, such left rows are spread over the tasks by their time.
 """
 from __future__ import annotations
 
@@ -38,10 +40,13 @@ def asof_lookback(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t
     payload = F.struct(*[F.col(v).alias(v) for v in values],
                        F.col(_T).alias("__t"),
                        F.col(right_time).alias("__time"))
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
     L = (left.withColumn(_T, epoch_micros(left_time))
-             .withColumn(_B, F.floor(F.col(_T) / F.lit(tol)))
+             .withColumn(_B, F.when(known, F.floor(F.col(_T) / F.lit(tol))).otherwise(F.xxhash64(_T)))
              .withColumn(_SIDE, F.lit(0)))
-    R = (right.select(*keys, right_time, *values)
+    R = (right.where(known).select(*keys, right_time, *values)
               .withColumn(_T, epoch_micros(right_time))
               .withColumn(_V, payload)
               .withColumn(_B, F.explode(F.array(F.floor(F.col(_T) / F.lit(tol)),
@@ -50,7 +55,7 @@ def asof_lookback(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t
     u = L.unionByName(R, allowMissingColumns=True)
     # Right rows first among equal times, so a same-instant match is visible
     # to the left row when the current instant is included.
-    order = [F.col(_T), F.col(_SIDE).desc() if include_current else F.col(_SIDE)]
+    order = [F.col(_T), F.col(_SIDE).desc() if include_current else F.col(_SIDE), F.col(_V)]
     w = Window.partitionBy(*keys, _B).orderBy(*order)
     w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last = F.last(F.col(_V), ignorenulls=True).over(w)
@@ -58,7 +63,7 @@ def asof_lookback(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t
     lo_ok = (F.col(_V)["__t"] >= F.col(_T) - F.lit(tol)) if include_lower else \
             (F.col(_V)["__t"] > F.col(_T) - F.lit(tol))
     cur_ok = F.lit(True) if include_current else (F.col(_V)["__t"] < F.col(_T))
-    hit = F.col(_V).isNotNull() & lo_ok & cur_ok
+    hit = known & F.col(_V).isNotNull() & lo_ok & cur_ok
     out = [F.col(c) for c in lcols]
     out += [F.when(hit, F.col(_V)[v]).alias(prefix + v) for v in values]
     if match_time_col:

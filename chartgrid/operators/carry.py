@@ -18,7 +18,7 @@ def carry_previous(df: DataFrame, keys: Sequence[str], time_col: str, cols: Sequ
     predecessor whenever the predecessor is inside the gap, so this equals
     ``lag`` + a recency test (or a self join on row numbers), but runs as the
     skew-safe bucketed look-back of :mod:`chartgrid.operators.asof`.
-    Rows must be unique per (keys, time).
+    Rows of one (keys, time) do not carry to each other.
     """
     return asof_lookback(df, df.select(*keys, time_col, *cols), keys, time_col, time_col,
                          cols, max_gap_seconds, include_lower=not strict,

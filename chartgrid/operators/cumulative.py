@@ -1,11 +1,9 @@
 """Exact prefix sums over an ordered key without a single-partition window.
 
-A global ``sum() over (order by k)`` moves every row into one task.  Here
-the (already aggregated) rows are cut into ``buckets`` ranges by approximate
-quantiles of the key; per-bucket totals (``buckets`` rows, a bounded size)
-give each bucket's offset, and the running sum inside a bucket is a window
-partitioned by bucket.  The result is exact -- the quantiles only decide how
-the work is split.
+A global ``sum() over (order by k)`` moves every row into one task.  Here the
+(already aggregated) rows are range-partitioned by the key and written with the
+number of their range; the totals per range (one row per partition) give each
+range's offset, and the running sum inside a range is a window of its own.
 """
 from __future__ import annotations
 
@@ -14,27 +12,18 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.io import materialise
+
 
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], descending: bool = False,
-                inclusive: bool = True, buckets: int = 64, prefix: str = "cum_") -> DataFrame:
+                inclusive: bool = True, prefix: str = "cum_") -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over rows ordered before (and, when
     ``inclusive``, at) each row.  ``order_col`` must be unique per row."""
-    k = F.col(order_col)
-    probs = [i / buckets for i in range(1, buckets)]
-    # buckets-1 cut points: a bounded list, inlined as a literal array
-    cuts = df.agg(F.percentile_approx(k, probs, 10000)).first()[0] or []
-    arr = F.array(*[F.lit(v) for v in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
-    bexpr = F.size(F.filter(arr, lambda v: v < k))
-    if descending:
-        bexpr = F.lit(buckets) - bexpr
-    x = df.withColumn("__bk", bexpr)
-    totals = x.groupBy("__bk").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
-    wt = Window.orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__bk", *[F.coalesce(F.sum(f"__t_{c}").over(wt), F.lit(0))
-                                      .alias(f"__o_{c}") for c in sum_cols])
-    x = x.join(F.broadcast(offsets), "__bk", "left")  # <= buckets rows
-    ordk = k.desc() if descending else k.asc()
-    w = Window.partitionBy("__bk").orderBy(ordk)
-    w = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    return x.select(*df.columns, *[(F.col(f"__o_{c}") + F.coalesce(F.sum(c).over(w), F.lit(0)))
-                                   .alias(prefix + c) for c in sum_cols])
+    k = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    x = materialise(df.repartitionByRange(k).withColumn("__range", F.spark_partition_id()), "prefix_sums")
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)    # one row per partition
+    offsets = x.groupBy("__range").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols]).select(
+        "__range", *[F.coalesce(F.sum(f"__t_{c}").over(before), F.lit(0)).alias(f"__o_{c}") for c in sum_cols])
+    own = Window.partitionBy("__range").orderBy(k).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    return x.join(offsets, "__range").select(*df.columns, *[
+        (F.col(f"__o_{c}") + F.coalesce(F.sum(c).over(own), F.lit(0))).alias(prefix + c) for c in sum_cols])

@@ -10,14 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.io import materialise
 from .cumulative import prefix_sums
 
 
 def score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
     lab = F.col(label).cast("int")
-    return df.groupBy(F.col(score).cast("double").alias("score")).agg(
+    counts = df.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.sum(F.when(lab == 1, 1).otherwise(0)).cast("bigint").alias("p"),
         F.sum(F.when(lab == 1, 0).otherwise(1)).cast("bigint").alias("n"))
+    return materialise(counts, "score_counts")      # read several times, scored once
 
 
 def auc(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -27,7 +29,7 @@ def auc(df: DataFrame, score: str, label: str) -> DataFrame:
     c = prefix_sums(g, "score", ["n"], inclusive=False)          # negatives strictly below
     return c.agg(
         (F.sum(F.col("p") * (F.col("cum_n") + F.col("n") / F.lit(2.0)))
-         / F.nullif(F.sum("p") * F.sum("n"), F.lit(0)).cast("double")).alias("auc"))
+         / F.nullif(F.sum("p").cast("double") * F.sum("n").cast("double"), F.lit(0.0))).alias("auc"))
 
 
 def roc_points(df: DataFrame, score: str, label: str) -> DataFrame:

@@ -1,23 +1,15 @@
 """Row positions within groups without sending a hot group to one task.
 
 ``row_number() over (partition by g order by t)`` sorts each group inside a
-single task.  ``positions`` gives the same numbers (0-based) but splits every
-group larger than ``rows_per_task`` into ranges of its order key (approximate
-quantile cut points, computed for the hot groups only):
+single task.  ``positions`` gives the same numbers (0-based) for any group size:
 
-1. count rows per group (partial aggregate); groups above the limit are hot;
-2. per hot group, ``buckets`` cut points of the order key;
-3. rows of a hot group get bucket = number of cuts below their key (equal
-   keys share a bucket), other rows bucket 0;
-4. bucket sizes -> bucket offsets (a window over <= buckets rows per group);
-5. ``row_number`` within (group, bucket) + offset.
+1. rows are range-partitioned by (group, order key, ties) and written with the
+   number of their range, so a large group spans several ranges, also where many
+   of its rows have one order key but different ties;
+2. row counts per (group, range) give each range's offset within the group;
+3. ``row_number`` within (group, range) + offset.
 
-When no group exceeds the limit (checked with one small aggregate) the plain
-per-group window is used.
-
-The cut points only decide how work is split; positions are exact.  The
-order key must be numeric, a timestamp or a date; ``ties`` complete the
-order inside equal keys.
+The ranges only decide how work is split; positions are exact.
 """
 from __future__ import annotations
 
@@ -25,56 +17,24 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..functions.time import epoch_micros
-
-
-def _numeric(df: DataFrame, c: str):
-    dt = df.schema[c].dataType
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return epoch_micros(c).cast("double")
-    if isinstance(dt, T.DateType):
-        return F.datediff(F.col(c), F.lit("1970-01-01").cast("date")).cast("double")
-    return F.col(c).cast("double")
-
 
-def largest_group(sizes: DataFrame) -> int:
-    """Row count of the largest group (one aggregate, one number to the driver)."""
-    return sizes.agg(F.max("count")).first()[0] or 0
+from ..sources.io import materialise
 
 
 def positions(df: DataFrame, keys: Sequence[str], order_col: str, ties: Sequence[str] = (),
-              name: str = "pos", rows_per_task: int = 2_000_000, buckets: int = 64,
-              bucket_col: str | None = None) -> DataFrame:
+              name: str = "pos") -> DataFrame:
     """Add ``name`` = 0-based position of each row within ``keys`` ordered by
-    ``order_col`` then ``ties`` (ascending, NULL keys first).  With
-    ``bucket_col`` the work bucket is kept as a column."""
-    keys = list(keys)
-    o = "__pos_o"
-    x = df.withColumn(o, _numeric(df, order_col))
-    sizes = x.groupBy(*keys).count()
-    if largest_group(sizes) <= rows_per_task:
-        # every group fits one task: the plain window is the cheaper plan
-        w = Window.partitionBy(*keys).orderBy(F.col(o).asc_nulls_first(),
-                                              *[F.col(t).asc_nulls_first() for t in ties])
-        out = x.withColumn(name, (F.row_number().over(w) - 1).cast("bigint")).drop(o)
-        return out.withColumn(bucket_col, F.lit(0)) if bucket_col else out
-    hot = sizes.where(F.col("count") > rows_per_task).select(*keys)
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = (x.join(hot, keys, "left_semi")
-             .groupBy(*keys).agg(F.percentile_approx(o, probs, 10000).alias("__cuts")))
-    # one row per hot group (<= rows / rows_per_task rows); AQE picks the join
-    x = x.join(cuts, keys, "left")
-    b = F.when(F.col("__cuts").isNull() | F.col(o).isNull(), F.lit(0)).otherwise(
-        F.size(F.filter(F.col("__cuts"), lambda c: c < F.col(o))))
-    x = x.withColumn("__b", b.cast("int")).drop("__cuts")
-    counts = x.groupBy(*keys, "__b").count()
-    wo = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(*keys, "__b", F.coalesce(F.sum("count").over(wo), F.lit(0)).alias("__off"))
-    x = x.join(offs, [*keys, "__b"])
-    w = Window.partitionBy(*keys, "__b").orderBy(F.col(o).asc_nulls_first(),
-                                                *[F.col(t).asc_nulls_first() for t in ties])
-    x = x.withColumn(name, (F.row_number().over(w) - 1 + F.col("__off")).cast("bigint"))
-    out = x.drop(o, "__off")
-    return out.withColumnRenamed("__b", bucket_col) if bucket_col else out.drop("__b")
+    ``order_col`` then ``ties`` (ascending, NULLs first)."""
+    keys, order = list(keys), [order_col, *ties]
+    x = materialise(df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in (*keys, *order)])
+                    .withColumn("__range", F.spark_partition_id()), "positions")
+    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = x.groupBy(*keys, "__range").count().select(
+        *[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__range").alias("__r"),
+        F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))
+    same = F.col("__range") == F.col("__r")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    own = Window.partitionBy(*keys, "__range").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return x.join(offsets, same).select(
+        *df.columns, (F.row_number().over(own) - 1 + F.col("__before")).cast("bigint").alias(name))

@@ -46,12 +46,14 @@ def exact_length_entities(df: DataFrame, entity: str, n: int) -> DataFrame:
     return df.join(ok, entity, "left_semi")
 
 
-def schema_profile(df: DataFrame) -> list[tuple[str, int]]:
-    """(type name, number of columns) — reads only the schema."""
-    counts: dict[str, int] = {}
-    for f in df.schema.fields:
-        counts[f.dataType.simpleString()] = counts.get(f.dataType.simpleString(), 0) + 1
-    return sorted(counts.items())
+def schema_profile(df: DataFrame) -> DataFrame:
+    """Per column type: type, n_columns, n_values (non-missing values in all of
+    them), from one aggregate over the rows."""
+    counts = df.agg(*[F.count(F.when(~is_missing(df, c), 1)).alias(c) for c in df.columns])
+    each = F.array(*[F.struct(F.lit(f.dataType.simpleString()).alias("type"), F.col(f.name).alias("n"))
+                     for f in df.schema.fields])
+    return (counts.select(F.inline(each)).groupBy("type")
+            .agg(F.count("*").alias("n_columns"), F.sum("n").alias("n_values")))
 
 
 def columns_of_type(df: DataFrame, *types) -> list[str]:

@@ -1,110 +1,84 @@
-"""Exact quantiles by distributed selection.
+"""Exact quantiles of many columns by narrowing brackets.
 
-Spark's exact ``percentile``/``median`` keeps a value -> count map of the
-whole column in one aggregation buffer, which does not scale.  Here every
-wanted rank ("target", one or two per column for an interpolated quantile)
-keeps a bracket [lo, hi] known to contain it and the number of values below
-``lo``.  Each pass is one scan of the (persisted) input for *all* targets:
-values are tagged with the targets whose bracket they fall in and
-histogrammed into ``bins`` buckets per target (count, min, max per bucket,
-a partial aggregate of at most ``targets x bins`` rows).  The bucket holding
-the rank becomes the next bracket.  Once a bracket holds at most
-``collect_limit`` values, the next pass returns its distinct values with
-counts and the rank is read off exactly.
+Spark's exact ``percentile``/``median`` keeps a value -> count map of the whole
+column in one aggregation buffer.  Here every wanted rank keeps an open bracket
+of values that may hold it.  A round takes approximate percentiles around the
+rank inside the bracket (values of the data, from a bounded sketch) and then
+counts the rows below and up to each of them: a pivot is the answer, or it cuts
+the bracket.  Both steps are one wide aggregate for all columns, so one row
+reaches the driver.  A round shrinks a bracket some hundredfold, and by one
+distinct value at least; the result does not depend on the number of rows.
 """
 from __future__ import annotations
 
 import math
 from typing import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.io import materialise
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5, bins: int = 1024,
-                    collect_limit: int = 20_000, max_passes: int = 64) -> dict:
+ACCURACY = 1000      # of the sketch: rank error within a bracket is 1/ACCURACY
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5) -> dict:
     """Exact linearly interpolated ``q``-quantile of each column (NULL and
     NaN ignored), like pandas ``quantile`` / Spark ``percentile``."""
     cols = list(cols)
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("ci"), F.col(c).cast("double").alias("v"))
-        for i, c in enumerate(cols)])).alias("x")).select("x.ci", "x.v")
-    long = long.where(F.col("v").isNotNull() & ~F.isnan("v")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stats = {r["ci"]: r for r in long.groupBy("ci").agg(
-            F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
-        targets = {}   # tid -> dict(ci, k, lo, hi, below, mode, value)
-        for i in range(len(cols)):
-            if i not in stats:
-                continue
-            n, lo, hi = stats[i]["n"], stats[i]["lo"], stats[i]["hi"]
-            pos = q * (n - 1)
-            for k in sorted({int(math.floor(pos)), int(math.ceil(pos))}):
-                targets[len(targets)] = dict(ci=i, k=k, lo=lo, hi=hi, below=0,
-                                             mode="collect" if n <= collect_limit else "hist",
-                                             value=lo if lo == hi else None)
-        for _ in range(max_passes):
-            active = {t: s for t, s in targets.items() if s["value"] is None}
-            if not active:
-                break
-            arr = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(s["ci"]).alias("ci"),
-                                     F.lit(float(s["lo"])).alias("lo"), F.lit(float(s["hi"])).alias("hi"),
-                                     F.lit(s["mode"] == "collect").alias("c"))
-                            for t, s in active.items()])
-            tagged = long.select("v", F.explode(F.filter(
-                arr, lambda a: (a["ci"] == F.col("ci")) & (F.col("v") >= a["lo"])
-                & (F.col("v") <= a["hi"]))).alias("a"))
-            width = (tagged["a"]["hi"] - tagged["a"]["lo"]) / F.lit(float(bins))
-            bucket = F.when(tagged["a"]["c"], F.lit(None).cast("int")).otherwise(
-                F.least(F.floor((F.col("v") - tagged["a"]["lo"]) / width), F.lit(bins - 1)).cast("int"))
-            key = F.when(tagged["a"]["c"], F.col("v"))        # exact value in collect mode
-            rows = tagged.groupBy(F.col("a.t").alias("t"), bucket.alias("b"), key.alias("val")).agg(
-                F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).collect()
-            by_t: dict = {}
-            for r in rows:
-                by_t.setdefault(r["t"], []).append(r)
-            for t, s in active.items():
-                rs = by_t.get(t, [])
-                if s["mode"] == "collect":
-                    acc = s["below"]
-                    for r in sorted(rs, key=lambda r: r["val"]):
-                        if acc + r["n"] > s["k"]:
-                            s["value"] = r["val"]
-                            break
-                        acc += r["n"]
-                    else:
-                        raise RuntimeError("rank outside the bracket")
-                    continue
-                acc = s["below"]
-                for r in sorted(rs, key=lambda r: r["b"]):
-                    if acc + r["n"] > s["k"]:
-                        s.update(lo=r["mn"], hi=r["mx"], below=acc,
-                                 mode="collect" if r["n"] <= collect_limit else "hist")
-                        if r["mn"] == r["mx"]:
-                            s["value"] = r["mn"]
-                        break
-                    acc += r["n"]
-                else:
-                    raise RuntimeError("rank outside the bracket")
-        out = {}
-        for i, c in enumerate(cols):
-            ts = [s for s in targets.values() if s["ci"] == i]
-            if not ts:
-                out[c] = None
+    x = materialise(df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"c{i}")
+                                for i, c in enumerate(cols)]), "quantiles")     # read twice a round
+    sizes = x.agg(*[F.count(f"c{i}").alias(f"c{i}") for i in range(len(cols))]).first()
+    open_, found = {}, {}
+    for i in range(len(cols)):
+        if sizes[i]:
+            at = q * (sizes[i] - 1)
+            for rank in {math.floor(at), math.ceil(at)}:
+                open_[i, rank] = (None, None, 0, sizes[i])       # above, below, rows up to above, rows under below
+    while open_:
+        tasks = list(open_.items())
+        pivots = x.agg(*[_around(f"c{i}", rank, *bracket).alias(f"t{t}")
+                         for t, ((i, rank), bracket) in enumerate(tasks)]).first()
+        asked = [(t, v) for t in range(len(tasks)) for v in sorted(set(pivots[t]))]
+        counts = x.agg(*[f for t, v in asked for c in [F.col(f"c{tasks[t][0][0]}")]
+                         for f in (F.count(F.when(c < F.lit(v), 1)), F.count(F.when(c <= F.lit(v), 1)))]).first()
+        for n, (t, v) in enumerate(asked):
+            key, under, upto = tasks[t][0], counts[2 * n], counts[2 * n + 1]
+            if key not in open_:
                 continue
-            n = stats[i]["n"]
-            pos = q * (n - 1)
-            v0 = min(ts, key=lambda s: s["k"])["value"]
-            v1 = max(ts, key=lambda s: s["k"])["value"]
-            out[c] = v0 + (v1 - v0) * (pos - math.floor(pos))
-        return out
-    finally:
-        long.unpersist()
+            above, below, lo, hi = open_[key]
+            if under <= key[1] < upto:
+                found[key] = v
+                del open_[key]
+            elif upto <= key[1]:
+                open_[key] = (v, below, upto, hi)
+            else:
+                open_[key] = (above, v, lo, under) if under < hi else open_[key]
+    out: dict = {}
+    for i, c in enumerate(cols):
+        out[c] = None
+        if sizes[i]:
+            at = q * (sizes[i] - 1)
+            a, b, part = found[i, math.floor(at)], found[i, math.ceil(at)], at - math.floor(at)
+            out[c] = a if a == b else a * (1 - part) + b * part
+    return out
+
+
+def _around(col: str, rank: int, above, below, lo: int, hi: int):
+    """Three values of the bracket near the rank."""
+    c = F.col(col)
+    inside = F.lit(True)
+    if above is not None:
+        inside = inside & (c > F.lit(above))
+    if below is not None:
+        inside = inside & (c < F.lit(below))
+    at, step = (rank - lo + 0.5) / (hi - lo), 2 / ACCURACY
+    shares = [min(1.0, max(0.0, at + d)) for d in (-step, 0.0, step)]
+    return F.percentile_approx(F.when(inside, c), shares, ACCURACY)
 
 
-def exact_quantile(df: DataFrame, col: str, q: float, **kw) -> float | None:
-    return exact_quantiles(df, [col], q, **kw)[col]
+def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
+    return exact_quantiles(df, [col], q)[col]
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str]) -> dict:

@@ -71,11 +71,10 @@ def ordinal(df: DataFrame, partition: Sequence[str], order: Sequence[Column],
 
 
 def ordinal_skew_safe(df: DataFrame, partition: Sequence[str], order_col: str,
-                      ties: Sequence[str] = (), name: str = "ordinal",
-                      rows_per_task: int = 2_000_000) -> DataFrame:
+                      ties: Sequence[str] = (), name: str = "ordinal") -> DataFrame:
     """1-based ``row_number()`` ordered by ``order_col`` (ascending, NULLs
     first) then ``ties``, computed without a per-group partition (see
     :mod:`chartgrid.operators.positions`)."""
     from .positions import positions
-    p = positions(df, partition, order_col, ties, name="__pos", rows_per_task=rows_per_task)
+    p = positions(df, partition, order_col, ties, name="__pos")
     return p.withColumn(name, F.col("__pos") + F.lit(1)).drop("__pos")

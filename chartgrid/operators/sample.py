@@ -33,16 +33,11 @@ def split_sides(df: DataFrame, id_col: str, train_fraction: float = 0.8, seed: i
             t.where(F.col("__split") == "test").drop("__split"))
 
 
-def oversample(df: DataFrame, id_col: str, label_col: str, copies: int = 6,
-               offset: int = 100000, positive=1) -> DataFrame:
-    """Union the rows with ``copies`` extra copies of the positive-label rows;
-    copy ``k`` gets ``id + k * offset``.  A ``copy`` column (0 = original)
-    keeps copies apart even where the id offset would collide."""
-    orig = df.withColumn("copy", F.lit(0).cast("int"))
-    extra = (df.where(F.col(label_col) == positive)
-               .withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
-               .withColumn(id_col, F.col(id_col) + F.col("copy").cast("bigint") * F.lit(offset)))
-    return orig.unionByName(extra.select(*orig.columns))
+def oversample(df: DataFrame, label_col: str, copies: int = 6, positive=1) -> DataFrame:
+    """The rows with ``copies`` extra copies of the positive-label rows.  Ids stay
+    as they are; (id, ``copy``) names an entity, 0 being the original."""
+    last = F.when(F.col(label_col) == positive, F.lit(copies)).otherwise(F.lit(0))
+    return df.withColumn("copy", F.explode(F.sequence(F.lit(0), last)))
 
 
 def fill_with(df: DataFrame, values: dict) -> DataFrame:

@@ -17,45 +17,48 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def sliding_windows(df: DataFrame, entity: str, order: str, features: Sequence[str],
+def _keys(entity: str | Sequence[str]) -> list[str]:
+    return [entity] if isinstance(entity, str) else list(entity)
+
+
+def sliding_windows(df: DataFrame, entity: str | Sequence[str], order: str, features: Sequence[str],
                     label: str, length: int) -> DataFrame:
-    """Columns: entity, ``start`` (order value of the first row), ``seq``
-    (array of ``length`` arrays of features, as double) and ``label``."""
-    w = Window.partitionBy(entity).orderBy(order)
+    """Columns: entity (one or several), ``start`` (order value of the first row),
+    ``seq`` (array of ``length`` arrays of features, as double) and ``label``."""
+    keys = _keys(entity)
+    w = Window.partitionBy(*keys).orderBy(order)
     frame = w.rowsBetween(0, length - 1)
     step = F.array(*[F.col(f).cast("double") for f in features])
-    return (df.select(entity, order, label, step.alias("__step"))
+    return (df.select(*keys, order, label, step.alias("__step"))
               .withColumn("seq", F.collect_list("__step").over(frame))
               .withColumn("__y", F.lead(label, length).over(w))
               .where(F.col("__y").isNotNull())
-              .select(entity, F.col(order).alias("start"), "seq", F.col("__y").alias("label")))
+              .select(*keys, F.col(order).alias("start"), "seq", F.col("__y").alias("label")))
 
 
-def sliding_windows_skew_safe(df: DataFrame, entity: str, order: str, features: Sequence[str],
-                              label: str, length: int, block: int = 100_000,
-                              rows_per_task: int = 2_000_000) -> DataFrame:
+def sliding_windows_skew_safe(df: DataFrame, entity: str | Sequence[str], order: str, features: Sequence[str],
+                              label: str, length: int, block: int = 100_000) -> DataFrame:
     """Same output as :func:`sliding_windows`, without a per-entity partition."""
-    from .positions import largest_group, positions
-    base = df.select(entity, order, label, *features)
-    if largest_group(base.groupBy(entity).count()) <= rows_per_task:
-        return sliding_windows(base, entity, order, features, label, length)
-    p = positions(base, [entity], order, name="__p", rows_per_task=rows_per_task)
+    from .positions import positions
+    keys = _keys(entity)
+    p = positions(df.select(*keys, order, label, *features), keys, order, name="__p")
     blk = F.floor(F.col("__p") / F.lit(block))
     # a row is used by its own block and, when it is among the first L rows of
     # its block, by the previous block (as the tail of that block's windows)
     owners = F.when((F.col("__p") % F.lit(block) < F.lit(length)) & (blk > 0),
                     F.array(blk, blk - 1)).otherwise(F.array(blk))
     x = p.withColumn("__blk", F.explode(owners))
-    w = Window.partitionBy(entity, "__blk").orderBy("__p")
+    w = Window.partitionBy(*keys, "__blk").orderBy("__p")
     step = F.array(*[F.col(f).cast("double") for f in features])
     return (x.withColumn("seq", F.collect_list(step).over(w.rowsBetween(0, length - 1)))
              .withColumn("__y", F.lead(label, length).over(w))
              .where(F.col("__y").isNotNull() & (F.floor(F.col("__p") / F.lit(block)) == F.col("__blk")))
-             .select(entity, F.col(order).alias("start"), "seq", F.col("__y").alias("label")))
+             .select(*keys, F.col(order).alias("start"), "seq", F.col("__y").alias("label")))
 
 
-def windows_long(windows: DataFrame, entity: str, features: Sequence[str]) -> DataFrame:
+def windows_long(windows: DataFrame, entity: str | Sequence[str], features: Sequence[str]) -> DataFrame:
     """Unnest windows to one row per (entity, start, step) with feature columns."""
-    x = windows.select(entity, "start", "label", F.posexplode("seq").alias("step", "__v"))
-    return x.select(entity, "start", F.col("step").cast("bigint").alias("step"), "label",
+    keys = _keys(entity)
+    x = windows.select(*keys, "start", "label", F.posexplode("seq").alias("step", "__v"))
+    return x.select(*keys, "start", F.col("step").cast("bigint").alias("step"), "label",
                     *[F.col("__v")[i].alias(f) for i, f in enumerate(features)])

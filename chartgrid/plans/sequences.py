@@ -3,7 +3,7 @@
 Steps, all DataFrame operators: per-entity missing fractions -> keep
 entities whose every feature is < 30 % missing -> keep entities with exactly
 ``n_rows`` rows -> fill NULLs with global medians -> entity-level 80/20 split
--> replicate positive training entities 6 times with shifted ids ->
+-> replicate positive training entities 6 times as (id, copy) ->
 sliding windows of ``length`` rows labelled with the following row.
 
 ``daily_series`` derives a per-user daily series from ``events`` for the
@@ -25,16 +25,19 @@ from ..operators.sequence import sliding_windows_skew_safe
 DAILY_FEATURES = ("avg_value", "min_value", "max_value", "sum_value", "n_events", "n_types")
 
 
-def daily_series(events: DataFrame, days: int = 25, outcome_from_day: int = 26) -> DataFrame:
-    """(user_id, day 0..days-1) grid with six daily features (NULL on days
-    without events) and a per-user outcome: any purchase above 100 on or
-    after day-of-month ``outcome_from_day``."""
-    ev = events.select("user_id", "ts", "event_type", "value",
-                       (F.dayofmonth("ts") - 1).cast("bigint").alias("day"))
-    users = ev.groupBy("user_id").agg(F.max(F.when(
-        (F.dayofmonth("ts") >= outcome_from_day) & (F.col("event_type") == "purchase")
-        & (F.col("value") > 100), 1).otherwise(0)).alias("label"))
-    grid = hour_grid(users.withColumn("__n", F.lit(days - 1)), "__n", 0, "day").drop("__n")
+def daily_series(events: DataFrame, days: int = 25, types: Sequence[str] = ("click", "purchase")) -> DataFrame:
+    """(user_id, day) rows from the user's first event of ``types`` (day 0) to the
+    last, ``days`` of them at most, with six daily features (NULL on days without
+    such events), and the outcome: any purchase above 100 on a later day."""
+    ev = events.where(F.col("event_type").isin(*types)).select("user_id", "ts", "event_type", "value")
+    first = ev.groupBy("user_id").agg(F.min("ts").alias("first"))
+    ev = ev.join(first, "user_id").select(
+        "user_id", "event_type", "value", F.datediff("ts", "first").cast("bigint").alias("day"))
+    users = ev.groupBy("user_id").agg(
+        F.least(F.max("day"), F.lit(days - 1)).alias("__n"),
+        F.max(F.when((F.col("day") >= days) & (F.col("event_type") == "purchase")
+                     & (F.col("value") > 100), 1).otherwise(0)).alias("label"))
+    grid = hour_grid(users, "__n", 0, "day").drop("__n")
     daily = ev.where(F.col("day") < days).groupBy("user_id", "day").agg(
         F.avg("value").alias("avg_value"), F.min("value").alias("min_value"),
         F.max("value").alias("max_value"), F.sum("value").alias("sum_value"),
@@ -56,7 +59,6 @@ class SequencePrep:
     train_fraction: float = 0.8
     seed: int = 0
     copies: int = 6
-    id_offset: int = 100000
     median_fit_on: str = "all"      # "all" (as published: before the split) or "train"
 
     def complete(self, df: DataFrame) -> DataFrame:
@@ -79,8 +81,16 @@ class SequencePrep:
 
     def train_oversampled(self, split_df: DataFrame) -> DataFrame:
         tr = split_df.where(F.col("split") == "train").drop("split")
-        return oversample(tr, self.entity, self.label, self.copies, self.id_offset)
+        return oversample(tr, self.label, self.copies)
 
-    def windows(self, df: DataFrame) -> DataFrame:
-        return sliding_windows_skew_safe(df, self.entity, self.order, list(self.features),
+    def windows(self, df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+        """Windows per entity, or per entity and further ``keys`` (copy, split)."""
+        return sliding_windows_skew_safe(df, [self.entity, *keys], self.order, list(self.features),
                                          self.label, self.length)
+
+    def split_windows(self, split_df: DataFrame) -> DataFrame:
+        """Windows of the oversampled training side and of the test side, keyed by
+        (entity, copy, split)."""
+        train = self.train_oversampled(split_df).withColumn("split", F.lit("train"))
+        test = split_df.where(F.col("split") == "test").withColumn("copy", F.lit(0))
+        return self.windows(train.unionByName(test), ("copy", "split"))

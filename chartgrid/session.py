@@ -20,15 +20,20 @@ SESSION_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
                   app: str = "chartgrid", extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the library's settings."""
+    """Create (or reuse) a session with the library's settings.  The number of
+    shuffle partitions is 8 on a local master and the cluster's own elsewhere,
+    unless it is given."""
+    if shuffle_partitions is None and master.startswith("local["):
+        shuffle_partitions = 8
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "16g")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+    if shuffle_partitions is not None:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**SESSION_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -40,11 +45,11 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session (idempotent)."""
     for k, v in SESSION_CONF.items():
-        try:
-            if spark.conf.get(k, None) != v:
-                spark.conf.set(k, v)
-        except Exception:  # static or locked setting: leave the cluster's value
-            pass
+        if spark.conf.get(k, None) != v and spark.conf.isModifiable(k):
+            spark.conf.set(k, v)
+    zone = "spark.sql.session.timeZone"
+    if spark.conf.get(zone) != SESSION_CONF[zone]:      # hour arithmetic would change
+        raise RuntimeError(f"{zone} is {spark.conf.get(zone)} and cannot be set to {SESSION_CONF[zone]}")
     return spark
 
 

@@ -161,7 +161,7 @@ def test_missing_fraction_strict(spark):
 def test_prefix_sums_vs_pandas(spark):
     rng = np.random.default_rng(0)
     pdf = pd.DataFrame({"k": rng.permutation(500).astype(float), "x": rng.integers(0, 10, 500)})
-    got = prefix_sums(spark.createDataFrame(pdf), "k", ["x"], buckets=7).toPandas().sort_values("k")
+    got = prefix_sums(spark.createDataFrame(pdf), "k", ["x"]).toPandas().sort_values("k")
     want = pdf.sort_values("k")["x"].cumsum().values
     assert (got["cum_x"].values == want).all()
 
@@ -193,20 +193,57 @@ def test_exact_quantiles_vs_pandas(spark):
     pdf.loc[::7, "a"] = np.nan
     df = spark.createDataFrame(pdf)
     for q in (0.5, 0.25, 0.9):
-        got = exact_quantiles(df, ["a", "b"], q, bins=8, collect_limit=50)
+        got = exact_quantiles(df, ["a", "b"], q)
         for c in "ab":
             assert abs(got[c] - pdf[c].quantile(q)) < 1e-12
 
 
+def test_exact_quantiles_of_extreme_values(spark):
+    rows = [(float("-inf"), -1.7e308, None), (1.0, 1.7e308, None), (2.0, 0.0, None), (4.0, -1.0, None),
+            (5.0, 3.0, None), (6.0, 3.0, None), (float("inf"), 2.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    assert exact_quantiles(df, ["a", "b", "c"]) == {"a": 4.0, "b": 2.0, "c": None}
+    many = df.crossJoin(spark.range(3000)).select("a", "b", "c")      # the row count changes nothing
+    assert exact_quantiles(many, ["a", "b", "c"]) == {"a": 4.0, "b": 2.0, "c": None}
+    wide = spark.createDataFrame([(-1.7e308,), (1.7e308,)], "a double")
+    assert exact_quantiles(wide, ["a"]) == {"a": 0.0}
+
+
+def test_asof_null_keys_and_ties(spark):
+    from datetime import datetime as dt
+    left = spark.createDataFrame([(None, dt(2024, 1, 1, 1)), (1, dt(2024, 1, 1, 1))], "k long, t timestamp_ntz")
+    right = spark.createDataFrame([(None, dt(2024, 1, 1, 0, 30), 7.0), (1, dt(2024, 1, 1, 0, 30), 3.0),
+                                   (1, dt(2024, 1, 1, 0, 30), 5.0)], "k long, t timestamp_ntz, v double")
+    got = {r["k"]: r["v"] for r in asof_lookback(left, right, ["k"], "t", "t", ["v"], 3600).collect()}
+    assert got == {None: None, 1: 5.0}
+
+
+def test_auc_of_very_many_rows(spark, monkeypatch):
+    from chartgrid.operators import metrics
+    counts = spark.createDataFrame([(0.1, 0, 4 * 10**9), (0.9, 4 * 10**9, 0)], "score double, p long, n long")
+    monkeypatch.setattr(metrics, "score_counts", lambda *a: counts)
+    assert metrics.auc(counts, "score", "p").first()[0] == 1.0
+
+
 def test_split_and_oversample(spark):
     df = spark.createDataFrame([(i, h, int(i % 4 == 0)) for i in range(1, 101) for h in range(3)],
                                "id long, h int, y int")
     s = hash_split(df, "id", 0.8, 0)
     per_id = s.groupBy("id").agg(F.countDistinct("split").alias("n")).where("n > 1").count()
     assert per_id == 0
-    o = oversample(df, "id", "y", 6, 100000)
+    o = oversample(df, "y", 6)
     assert o.count() == 300 + 6 * 25 * 3
-    assert o.where("copy = 3").agg(F.min("id")).first()[0] == 300004
+    assert o.where("copy = 3").agg(F.min("id")).first()[0] == 4
+
+
+def test_windows_of_copies_stay_apart(spark):
+    from chartgrid.plans.sequences import SequencePrep
+    rows = [(e, d, float(e * 10 + d), y) for e, y in ((1, 1), (100001, 0)) for d in range(5)]
+    df = spark.createDataFrame(rows, "e long, d long, x double, y int").withColumn("split", F.lit("train"))
+    w = SequencePrep("e", "d", ["x"], "y", length=3).split_windows(df)
+    got = [(r["e"], r["copy"], r["start"], [s[0] for s in r["seq"]]) for r in w.collect()]
+    assert len(got) == 7 * 2 + 2
+    assert all(seq == [e * 10.0 + start + i for i in range(3)] for e, _, start, seq in got)
 
 
 def test_round_half_away(spark):

@@ -79,7 +79,7 @@ def test_positions_split_hot_groups_exactly(spark):
             for i in range(3000)]
     df = spark.createDataFrame(rows, "g long, t double, id long")
     got = {r["id"]: r["ordinal"] for r in
-           ordinal_skew_safe(df, ["g"], "t", ["id"], rows_per_task=100).collect()}
+           ordinal_skew_safe(df, ["g"], "t", ["id"]).collect()}
     pdf = pd.DataFrame(rows, columns=["g", "t", "id"]).sort_values(["g", "t", "id"])
     pdf["want"] = pdf.groupby("g").cumcount() + 1
     assert all(got[i] == w for i, w in zip(pdf["id"], pdf["want"]))
@@ -90,7 +90,7 @@ def test_skew_safe_windows_match_plain(spark):
     rows = [(e, h, float(h * 10 + e), h % 2) for e, n in ((1, 700), (2, 30), (3, 24)) for h in range(n)]
     df = spark.createDataFrame(rows, "e long, hr long, x double, y int")
     a = sliding_windows(df, "e", "hr", ["x"], "y", 24)
-    b = sliding_windows_skew_safe(df, "e", "hr", ["x"], "y", 24, block=50, rows_per_task=100)
+    b = sliding_windows_skew_safe(df, "e", "hr", ["x"], "y", 24, block=50)
     key = lambda r: (r["e"], r["start"])
     ra = sorted(((r["e"], r["start"], tuple(map(tuple, r["seq"])), r["label"]) for r in a.collect()))
     rb = sorted(((r["e"], r["start"], tuple(map(tuple, r["seq"])), r["label"]) for r in b.collect()))
