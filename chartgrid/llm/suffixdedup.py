@@ -212,7 +212,9 @@ def repeated_ranges(docs: DataFrame, width: int = WIDTH, large: int = LARGE) ->
     table = keep(anchor_table(docs, width), "anchors")
     contexts = table.groupBy("key", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "tp")).alias("w"))
     contexts = keep(contexts, "anchor-contexts")
-    keys = contexts.groupBy("key").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).filter("total > 1")
+    # written, so that the join has exchanges of its own and a hot key can be split
+    keys = keep(contexts.groupBy("key").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+                .filter("total > 1"), "repeated-keys")
     repeated = keep(contexts.join(keys, "key"), "repeated-contexts")
 
     # kinds = 1: every window inside the context is repeated; its size is known at the anchor
