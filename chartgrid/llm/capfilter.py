@@ -4,8 +4,8 @@ Filter directions are a random product code: the dimensions are cut in two
 halves, each half has ``CODEWORDS`` random unit vectors, and every pair of them
 (one per half) is a direction.  A vector's filters are list-decoded from the two
 short score lists: all directions whose inner product with the vector exceeds
-``ALPHA``, or exceeds the vector's own ``LEAST``-th best where that is lower, so
-that no vector has too short a list.  Vectors of one label that share a filter
+``CAP / sqrt(dimensions)``, or its ``LEAST`` best directions where these are
+more, so that no vector has too short a list.  Vectors of one label that share a filter
 are compared by cosine in double precision; at 64 dimensions and cosine 0.93 a
 pair shares about fifteen of some thirty filters.
 
@@ -31,7 +31,7 @@ from .common import keep, map_rows
 from .components import components
 
 CODEWORDS = 256
-ALPHA = 0.44
+CAP = 3.52          # cap height in standard deviations of a random inner product
 LEAST = 32
 MIN_COSINE = 0.93
 BLOCK = 1024        # members of a block
@@ -49,8 +49,9 @@ class ProductCode:
             c = rng.standard_normal((codewords, d))
             self.codes.append(c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-300) / np.sqrt(2))
 
-    def decode(self, unit: np.ndarray, alpha: float, least: int) -> list[np.ndarray]:
+    def decode(self, unit: np.ndarray, cap: float = CAP, least: int = LEAST) -> list[np.ndarray]:
         """Sorted filter numbers of each row of ``unit``."""
+        alpha = cap / np.sqrt(unit.shape[1])
         scores = [unit[:, :self.half] @ self.codes[0].T, unit[:, self.half:] @ self.codes[1].T]
         order = [np.argsort(-s, axis=1, kind="stable") for s in scores]
         first, second = (np.take_along_axis(s, o, axis=1) for s, o in zip(scores, order))
@@ -66,7 +67,10 @@ class ProductCode:
             reach = np.searchsorted(-second[k], -(cut[k] - first[k, :many]) + 1e-12, "right")
             i = np.repeat(np.arange(many), reach)
             j = np.arange(len(i)) - np.repeat(np.cumsum(reach) - reach, reach)
-            out.append(np.sort(order[0][k, i] * self.b + order[1][k, j]))
+            found = order[0][k, i] * self.b + order[1][k, j]
+            if cut[k] < alpha and len(found) > least:       # equal scores at the cut: by number
+                found = found[np.lexsort((found, -(first[k, i] + second[k, j])))[:least]]
+            out.append(np.sort(found))
         return out
 
 
@@ -84,7 +88,7 @@ def classes_of(vectors: DataFrame) -> DataFrame:
             .groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")))
 
 
-def with_filters(classes: DataFrame, alpha: float = ALPHA, least: int = LEAST,
+def with_filters(classes: DataFrame, cap: float = CAP, least: int = LEAST,
                  codewords: int = CODEWORDS) -> DataFrame:
     """Adds ``filters array<int>`` and ``dim`` to the classes (rep, n, embedding, g)."""
     def rows(batches):
@@ -101,7 +105,7 @@ def with_filters(classes: DataFrame, alpha: float = ALPHA, least: int = LEAST,
                 codes[dim] = code
                 for at in range(0, len(ks), 1024):
                     part = ks[at:at + 1024]
-                    found = code.decode(unit_rows(np.array([lists[k] for k in part], float)), alpha, least)
+                    found = code.decode(unit_rows(np.array([lists[k] for k in part], float)), cap, least)
                     for k, f in zip(part, found):
                         yield reps[k], ns[k], gs[k], dim, lists[k], f.tolist()
 
@@ -168,14 +172,14 @@ def _links(near: np.ndarray, f: int, reps: list, n: np.ndarray, filters: list[li
                 yield reps[touched[q]], reps[touched[s]], None
 
 
-def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE, alpha: float = ALPHA,
+def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE, cap: float = CAP,
                     least: int = LEAST, codewords: int = CODEWORDS) -> DataFrame:
     """vec_id, n_links, component_id, kept of every vector."""
     classes = keep(classes_of(vectors), "cap-classes")
     listed = keep(with_filters(classes.select("rep", "n", "embedding", F.col("label").cast("string").alias("g")),
-                               alpha, least, codewords), "cap-filters")
+                               cap, least, codewords), "cap-filters")
     found = keep(linked(listed, min_cosine), "cap-links")
-    counts = found.filter("b is null").groupBy("a", ).agg(F.sum("n").alias("other"))
+    counts = found.filter("b is null").groupBy("a").agg(F.sum("n").alias("other"))
     roots = components(found.filter("b is not null").select("a", "b"))
     of_class = (classes.join(counts, classes.rep == counts.a, "left").join(roots, classes.rep == roots.node, "left")
                 .select("label", "embedding", (F.col("n") - 1 + F.coalesce("other", F.lit(0))).alias("n_links"),

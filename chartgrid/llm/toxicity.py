@@ -53,6 +53,8 @@ class OrdinalModel:
 
     def above(self, text: str) -> np.ndarray:
         """P(grade > k) for every threshold."""
+        if not self.words:
+            return np.zeros(len(self.thresholds))
         counts = Counter(map(self.words.get, _words(text.lower())))
         counts.pop(None, None)
         s = sum(self.weights[j] * np.log1p(n) for j, n in sorted(counts.items()))
