@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans import concepts as K
 from ..plans.assemble import IcuPipeline
 from ..plans.bloodgas import bg_panel
 from ..sources.fixtures import icu_sources
@@ -89,7 +90,7 @@ def q_sequence_extract(spark, sf):
 def q_specimen_prob(spark, sf):
     from ..plans.bloodgas import gas_with_context, specimen_probability
     p = _pipe(spark, sf)
-    g = gas_with_context(p.src.labevents, p.src.chartevents, p.kept)
+    g = gas_with_context(p.src.labs(K.BLOOD_GAS_CODES), p.src.chart(K.SPO2_CODES + K.FIO2_CODES), p.kept)
     return rounded(g.select("hadm_id", "charttime", "hr", "spo2", "fio2_chartevents",
                             specimen_probability().alias("specimen_prob")))
 

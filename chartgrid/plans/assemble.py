@@ -91,11 +91,11 @@ class IcuPipeline:
 
     @cached_property
     def vitals(self) -> DataFrame:
-        return vitals(self.src.chartevents, self.kept, self.null_safe_error)
+        return vitals(self.src.chart(K.VITAL_CODES), self.kept, self.null_safe_error)
 
     @cached_property
     def gcs(self) -> DataFrame:
-        return gcs_hourly(self.src.chartevents, self.kept, self.null_safe_error)
+        return gcs_hourly(self.src.chart(K.GCS_CODES), self.kept, self.null_safe_error)
 
     @cached_property
     def urine(self) -> DataFrame:
@@ -103,11 +103,11 @@ class IcuPipeline:
 
     @cached_property
     def labs(self) -> DataFrame:
-        return labs_hourly(self.src.labevents, self.kept)
+        return labs_hourly(self.src.labs([c for _, codes, _, _ in K.LABS for c in codes]), self.kept)
 
     @cached_property
     def art_bg(self) -> DataFrame:
-        return art_bg(self.src.labevents, self.src.chartevents, self.kept)
+        return art_bg(self.src.labs(K.BLOOD_GAS_CODES), self.src.chart(K.SPO2_CODES + K.FIO2_CODES), self.kept)
 
     def _per_stay(self, hadm_side: DataFrame) -> DataFrame:
         """Map an (hadm_id, hr) side onto every kept stay of the admission."""

@@ -79,11 +79,17 @@ ART_COLUMNS = ("specimen", "specimen_pred", "specimen_prob", "so2", "spo2", "po2
                "ventilationrate", "ventilator", "peep", "o2flow", "requiredo2")
 
 
+def _of_kept(events: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rows of admissions with a kept stay (before anything is aggregated)."""
+    return events.join(kept.select("hadm_id"), "hadm_id", "left_semi")
+
+
 def gas_with_context(labevents: DataFrame, chartevents: DataFrame, kept: DataFrame) -> DataFrame:
     """Every gas with a PO2 of an admission with a kept stay, on the hour grid
     of the admission's lowest kept stay, with the latest charted SpO2 of the
     previous 2 h and the latest positive charted FiO2 of the previous 4 h."""
-    bg = bg_panel(labevents).where(F.col("po2").isNotNull())
+    chartevents = _of_kept(chartevents, kept)
+    bg = bg_panel(_of_kept(labevents, kept)).where(F.col("po2").isNotNull())
     bg = (bg.join(first_kept_stay(kept), "hadm_id")
             .withColumn("hr", hour_diff("charttime", "intime")).drop("intime", "icustay_id"))
     return _attach_charted(bg, chartevents)
@@ -111,7 +117,8 @@ def art_bg(labevents: DataFrame, chartevents: DataFrame, kept: DataFrame) -> Dat
     # The latest gas of each hour depends on charttime only, so it is chosen
     # before the look-backs: identical result, and the as-of joins only see
     # the gases that are kept.
-    bg = bg_panel(labevents).where(F.col("po2").isNotNull())
+    chartevents = _of_kept(chartevents, kept)
+    bg = bg_panel(_of_kept(labevents, kept)).where(F.col("po2").isNotNull())
     bg = (bg.join(first_kept_stay(kept), "hadm_id")
             .withColumn("hr", hour_diff("charttime", "intime")).drop("intime", "icustay_id"))
     bg = _attach_charted(last_per_group(bg, ["hadm_id", "hr"], "charttime"), chartevents)

@@ -19,8 +19,7 @@ def rows_in_stay_window(src: IcuSources, codes=K.HEART_RATE_CODES) -> DataFrame:
     """Chart rows of ``codes`` inside (intime - 12h, outtime - 12h) of their
     stay: an equi-join on the stay with a time-range residual (J3).  The stay
     side is one row per stay; AQE broadcasts it when it is small."""
-    rows = (src.chartevents.where(F.col("itemid").isin(*codes))
-            .select("icustay_id", "charttime", "itemid"))
+    rows = src.chart(codes).select("icustay_id", "charttime", "itemid")
     stays = src.icustays.select("icustay_id", "intime", "outtime")
     return rows.join(stays, "icustay_id").where(
         (F.col("charttime") > add_hours("intime", -K.STAY_WINDOW_HOURS))

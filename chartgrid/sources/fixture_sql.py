@@ -47,7 +47,9 @@ FROM events e CROSS JOIN (SELECT CAST(a AS INT) AS itemid, CAST(b AS DOUBLE) AS
   (211,-10,320),(220045,40,180),(51,-5,420),(220179,60,200),(8368,20,310),(220180,30,120),(456,10,320),(220052,40,130),
   (618,-2,80),(220210,5,40),(678,60,125),(223761,90,105),(676,5,55),(223762,33,41),(646,60,110),(220277,80,100),
   (807,-20,400),(220621,50,300),(223835,0,120),(190,0,2),(3420,20,100),(3422,20,100),
-  (184,1,4),(220739,1,4),(454,1,6),(223901,1,6),(723,1,5),(223900,1,5)) AS t(a,b,c)) i
+  (184,1,4),(220739,1,4),(454,1,6),(223901,1,6),(723,1,5),(223900,1,5),
+  (442,-5,420),(455,-5,420),(6701,-5,420),(220050,60,200),(8440,20,310),(8441,20,310),(8555,20,310),(220051,30,120),(52,10,320),(6702,10,320),(443,10,320),
+  (220181,40,130),(225312,40,130),(615,-2,80),(224690,5,40),(811,-20,400),(1529,-20,400),(3745,-20,400),(3744,-20,400),(225664,50,300),(226537,50,300)) AS t(a,b,c)) i
 WHERE (e.event_id*31+i.itemid)%3=0
 """
 
@@ -67,7 +69,7 @@ WHERE e.event_id%2=0 AND (i.variant=0 OR e.event_id%20=0)
 
 VIEWS["outputevents"] = """
 SELECT user_id*10 + CAST(floor((day(ts)-1)/10) AS BIGINT) AS icustay_id, ts AS charttime,
-  CASE WHEN event_id%5=0 THEN 227489 WHEN event_id%5=1 THEN 226559 WHEN event_id%5=2 THEN 40055 WHEN event_id%5=3 THEN 40069 ELSE 99999 END AS itemid, value
+  ([227489,226559,40055,40069,43175,40094,40715,40473,40085,40057,40056,40405,40428,40086,40096,40651,226560,226561,226584,226563,226564,226565,226567,226557,226558,227488,99999])[event_id%27+1] AS itemid, value
 FROM events
 """
 

@@ -30,6 +30,16 @@ CHART_ITEMS = [
     (220277, 80, 100), (807, -20, 400), (220621, 50, 300), (223835, 0, 120), (190, 0, 2),
     (3420, 20, 100), (3422, 20, 100), (184, 1, 4), (220739, 1, 4), (454, 1, 6),
     (223901, 1, 6), (723, 1, 5), (223900, 1, 5),
+    (442, -5, 420), (455, -5, 420), (6701, -5, 420), (220050, 60, 200), (8440, 20, 310),
+    (8441, 20, 310), (8555, 20, 310), (220051, 30, 120), (52, 10, 320), (6702, 10, 320),
+    (443, 10, 320), (220181, 40, 130), (225312, 40, 130), (615, -2, 80), (224690, 5, 40),
+    (811, -20, 400), (1529, -20, 400), (3745, -20, 400), (3744, -20, 400), (225664, 50, 300), (226537, 50, 300),
+]
+# item code of an output row by event_id modulo their number (the last is no urine code)
+OUTPUT_ITEMS = [
+    227489, 226559, 40055, 40069, 43175, 40094, 40715, 40473, 40085, 40057, 40056, 40405,
+    40428, 40086, 40096, 40651, 226560, 226561, 226584, 226563, 226564, 226565,
+    226567, 226557, 226558, 227488, 99999,
 ]
 # item code, low, high, variant (variant 1 rows exist only for every 20th event)
 LAB_ITEMS = [
@@ -57,15 +67,17 @@ def _stay_id(user: Column, ts: Column) -> Column:
     return user * F.lit(10) + _block(ts)
 
 
-def _item_array(items, with_variant: bool = False) -> Column:
-    rows = []
-    for it in items:
-        fields = [F.lit(it[0]).cast("int").alias("itemid"),
-                  F.lit(float(it[1])).alias("lo"), F.lit(float(it[2])).alias("hi")]
-        if with_variant:
-            fields.append(F.lit(it[3]).cast("int").alias("variant"))
-        rows.append(F.struct(*fields))
-    return F.array(*rows)
+def _item_array(items) -> Column:
+    """A literal array of (itemid, lo, hi, variant), as one expression text."""
+    return F.expr("array(" + ", ".join(
+        f"named_struct('itemid', {i}, 'lo', {float(lo)}D, 'hi', {float(hi)}D, 'variant', {variant[0] if variant else 0})"
+        for i, lo, hi, *variant in items) + ")")
+
+
+def _of(items, codes):
+    """The items with one of the codes (all without codes): the fan-out of a
+    reader is cut to what it reads before any row is made."""
+    return items if codes is None else [i for i in items if i[0] in set(codes)] or items[:1]
 
 
 def _spread(e: Column, i: Column, mult: int, imult: int) -> Column:
@@ -121,11 +133,11 @@ def patients(customer: DataFrame) -> DataFrame:
     )
 
 
-def chartevents(events: DataFrame) -> DataFrame:
+def chartevents(events: DataFrame, codes=None) -> DataFrame:
     e = events.select("event_id", "user_id", "ts")
     eid = F.col("event_id")
     # explode the fixed item list, then a plain (codegen) filter
-    x = (e.select("event_id", "user_id", "ts", F.explode(_item_array(CHART_ITEMS)).alias("i"))
+    x = (e.select("event_id", "user_id", "ts", F.explode(_item_array(_of(CHART_ITEMS, codes))).alias("i"))
           .where((eid * F.lit(31) + F.col("i")["itemid"]) % F.lit(3) == 0))
     i = F.col("i")
     return x.select(
@@ -141,11 +153,11 @@ def chartevents(events: DataFrame) -> DataFrame:
     )
 
 
-def labevents(events: DataFrame) -> DataFrame:
+def labevents(events: DataFrame, codes=None) -> DataFrame:
     e = events.select("event_id", "user_id", "ts").where(F.col("event_id") % 2 == 0)
     eid = F.col("event_id")
     x = (e.select("event_id", "user_id", "ts",
-                  F.explode(_item_array(LAB_ITEMS, with_variant=True)).alias("i"))
+                  F.explode(_item_array(_of(LAB_ITEMS, codes))).alias("i"))
           .where((F.col("i")["variant"] == 0) | (eid % 20 == 0)))
     i = F.col("i")
     return x.select(
@@ -165,8 +177,8 @@ def outputevents(events: DataFrame) -> DataFrame:
     return events.select(
         _stay_id(F.col("user_id"), F.col("ts")).alias("icustay_id"),
         F.col("ts").alias("charttime"),
-        F.when(eid % 5 == 0, 227489).when(eid % 5 == 1, 226559).when(eid % 5 == 2, 40055)
-         .when(eid % 5 == 3, 40069).otherwise(99999).alias("itemid"),
+        F.expr(f"element_at(array({', '.join(map(str, OUTPUT_ITEMS))}), "
+               f"cast(event_id % {len(OUTPUT_ITEMS)} as int) + 1)").alias("itemid"),
         F.col("value"),
     )
 
@@ -181,6 +193,26 @@ class IcuSources:
     admissions: DataFrame
     patients: DataFrame
 
+    def chart(self, codes) -> DataFrame:
+        """Chart rows of some item codes (on stored tables a pushed-down filter)."""
+        return self.chartevents.where(F.col("itemid").isin(*codes))
+
+    def labs(self, codes) -> DataFrame:
+        """Laboratory rows of some item codes."""
+        return self.labevents.where(F.col("itemid").isin(*codes))
+
+
+@dataclass
+class DerivedSources(IcuSources):
+    """Views over ``events``: a reader generates the codes that it asks for only."""
+    events: DataFrame
+
+    def chart(self, codes) -> DataFrame:
+        return chartevents(self.events, codes).where(F.col("itemid").isin(*codes))
+
+    def labs(self, codes) -> DataFrame:
+        return labevents(self.events, codes).where(F.col("itemid").isin(*codes))
+
 
 def slim_sources(src: IcuSources, chart_codes, lab_codes, output_codes=None) -> IcuSources:
     """Scan sharing: the clinical chain reads chartevents five times and
@@ -204,6 +236,6 @@ def icu_sources(spark: SparkSession, sf_dir: str) -> IcuSources:
     """ICU-shaped views over ``sf_dir``'s ``events`` and ``customer``."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value"])
     cu = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
-    return IcuSources(chartevents=chartevents(ev), labevents=labevents(ev),
-                      outputevents=outputevents(ev), icustays=icustays(ev),
-                      admissions=admissions(cu), patients=patients(cu))
+    return DerivedSources(chartevents=chartevents(ev), labevents=labevents(ev),
+                          outputevents=outputevents(ev), icustays=icustays(ev),
+                          admissions=admissions(cu), patients=patients(cu), events=ev)
