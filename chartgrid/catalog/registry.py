@@ -3,13 +3,14 @@ from __future__ import annotations
 
 
 def all_queries() -> dict:
-    from . import clinical, metrics, ml, ops, seq, streams
+    from . import clinical, metrics, ml, model_metrics, ops, seq, streams
     out = {}
     out.update(clinical.QUERIES)
     out.update(ops.QUERIES)
     out.update(seq.QUERIES)
     out.update(metrics.QUERIES)
     out.update(ml.QUERIES)
+    out.update(model_metrics.QUERIES)
     out.update(streams.QUERIES)
     return out
 
