@@ -11,14 +11,12 @@ its own rule.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-from typing import Callable, Sequence
+from dataclasses import dataclass
+from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import in_range
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -28,7 +26,7 @@ class Rule:
     hi: float | None = None
     lo_inclusive: bool = False
     hi_inclusive: bool = False
-    transform: Callable[[Column], Column] | None = None
+    transform: str | None = None       # SQL text with {v} for the value
 
 
 @dataclass(frozen=True)
@@ -52,19 +50,23 @@ class Concept:
         return tuple(out)
 
 
-_AGG = {"avg": F.avg, "max": F.max, "min": F.min, "sum": F.sum, "count": F.count}
+def concept_sql(concept: Concept, code_col: str = "itemid") -> str:
+    """The CASE text of this concept's value for one row (or NULL).  One text per
+    column: building it from column objects costs a JVM call per literal."""
+    v = concept.value_col
+    branches = []
+    for r in concept.rules:
+        tests = [f"{code_col} IN ({', '.join(map(str, r.codes))})"]
+        if r.lo is not None:
+            tests.append(f"{v} {'>=' if r.lo_inclusive else '>'} {float(r.lo)!r}D")
+        if r.hi is not None:
+            tests.append(f"{v} {'<=' if r.hi_inclusive else '<'} {float(r.hi)!r}D")
+        branches.append(f"WHEN {' AND '.join(tests)} THEN {r.transform.format(v=v) if r.transform else v}")
+    return f"CASE {' '.join(branches)} END"
 
 
 def concept_value(concept: Concept, code_col: str = "itemid") -> Column:
-    """The CASE expression giving this concept's value for one row (or NULL)."""
-    v = F.col(concept.value_col)
-    expr = None
-    for r in concept.rules:
-        cond = F.col(code_col).isin(*r.codes) & in_range(v, r.lo, r.hi, r.lo_inclusive,
-                                                         r.hi_inclusive)
-        val = r.transform(v) if r.transform else v
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    return expr
+    return F.expr(concept_sql(concept, code_col))
 
 
 def all_codes(concepts: Sequence[Concept]) -> list:
@@ -77,7 +79,7 @@ def all_codes(concepts: Sequence[Concept]) -> list:
 def pivot_agg(df: DataFrame, keys: Sequence[str], concepts: Sequence[Concept],
               code_col: str = "itemid", extra_aggs: Sequence[Column] = ()) -> DataFrame:
     """``groupBy(keys)`` with one conditional aggregate per concept."""
-    aggs = [_AGG[c.agg](concept_value(c, code_col)).alias(c.name) for c in concepts]
+    aggs = [F.expr(f"{c.agg}({concept_sql(c, code_col)}) AS {c.name}") for c in concepts]
     return df.groupBy(*keys).agg(*aggs, *extra_aggs)
 
 

@@ -6,8 +6,6 @@ know nothing clinical.
 """
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators.pivot import Concept, Rule
 
 # ---------------------------------------------------------------------------
@@ -25,7 +23,7 @@ VITALS = (
     Concept.simple("meanbp", (456, 52, 6702, 443, 220052, 220181, 225312), 0, 300),
     Concept.simple("resprate", (615, 618, 220210, 224690), 0, 70),
     Concept("tempc", (
-        Rule((223761, 678), 70, 120, transform=lambda v: (v - F.lit(32.0)) / F.lit(1.8)),
+        Rule((223761, 678), 70, 120, transform="({v} - 32.0D) / 1.8D"),
         Rule((223762, 676), 10, 50))),
     Concept.simple("spo2", (646, 220277), 0, 100, hi_inclusive=True),
     Concept.simple("glucose", (807, 811, 1529, 3745, 3744, 225664, 220621, 226537), 0, None),

@@ -31,7 +31,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "16g")
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         # no stack trace per column call: it doubles the time to build wide plans
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false"))
     if shuffle_partitions is not None:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**SESSION_CONF, **(extra or {})}.items():
