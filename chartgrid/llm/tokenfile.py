@@ -22,6 +22,7 @@ ordered by their text's hash; an empty table writes no shard.
 from __future__ import annotations
 
 import json
+import os
 import struct
 import uuid
 import zlib
@@ -146,9 +147,11 @@ class LibraryIds:
     normalizer and pre-tokenizer do it; the library encodes each new word, and a
     bounded memo keeps the words that were encoded."""
 
-    MEMO, PART, BATCH = 250_000, 50_000, 5_000
+    MEMO, PART, BATCH = 450_000, 50_000, 2_000
 
     def __init__(self, path: str):
+        # Spark spreads the work; threads of the library's own would only add to it
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         whole = Tokenizer.from_file(path)
