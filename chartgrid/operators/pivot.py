@@ -56,7 +56,8 @@ def concept_sql(concept: Concept, code_col: str = "itemid") -> str:
     v = concept.value_col
     branches = []
     for r in concept.rules:
-        tests = [f"{code_col} IN ({', '.join(map(str, r.codes))})"]
+        codes = ", ".join("'" + c.replace("'", "\\'") + "'" if isinstance(c, str) else str(c) for c in r.codes)
+        tests = [f"{code_col} IN ({codes})"]
         if r.lo is not None:
             tests.append(f"{v} {'>=' if r.lo_inclusive else '>'} {float(r.lo)!r}D")
         if r.hi is not None:
