@@ -26,7 +26,7 @@ from .chunks import Splitter
 from .common import map_rows
 
 #: Words memoised by a worker at most (about 200 bytes each); the memo starts anew then.
-MEMO_WORDS = 800_000
+MEMO_WORDS = 300_000
 #: Words learnt or ids decoded at once.
 PART = 200_000
 

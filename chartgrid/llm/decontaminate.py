@@ -39,7 +39,7 @@ SIMILARITY = 0.8
 RADIUS = 23
 BLOCKS = 8
 MAP_BITS = 1 << 24       # of each bit map, whatever the number of items
-MEMO_WORDS = 500_000
+MEMO_WORDS = 150_000
 
 _words = re.compile(r"\w+").findall
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
