@@ -147,7 +147,7 @@ class LibraryIds:
     normalizer and pre-tokenizer do it; the library encodes each new word, and a
     bounded memo keeps the words that were encoded."""
 
-    MEMO, PART, BATCH = 450_000, 50_000, 2_000
+    MEMO, PART, BATCH = 800_000, 50_000, 2_000
 
     def __init__(self, path: str):
         # Spark spreads the work; threads of the library's own would only add to it
