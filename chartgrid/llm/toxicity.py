@@ -2,12 +2,14 @@
 
 Grades 0..4 are ordered; one weight vector serves all thresholds:
 ``P(grade <= k) = sigmoid(theta[k] - w.x)``.  The expected severity is the sum
-of ``P(grade > k)``.  Features are ``log(1 + count)`` of the words that tell the
-classes apart best (by the G2 statistic) in the labelled sample.
+of ``P(grade > k)``.  Features are ``log(1 + count)`` of words, and of runs of 4
+and 5 characters of words (ends marked; words of one stem share them), in any
+language.  All that tell the classes apart significantly in the labelled sample
+(G2 of ``MIN_STAT`` or more) count, however strong the best one is.
 
 Labels know toxic or not.  Grades follow from them: 0 if not toxic, 1 if toxic
-without any marker word (a feature that is much more common in toxic rows), 2 to
-4 by the number of marker words, cut at thirds of the toxic rows that hold any.
+without any marker word (one with a feature that is much more common in toxic
+rows), 2 to 4 by the number of marker words, cut at thirds of the toxic rows that hold any.
 
 Fitting uses a sample of the labelled rows by a hash of doc_id, of about
 ``MAX_LABELLED`` rows at most (all of them below that); scoring reads every
@@ -32,10 +34,11 @@ from pyspark.sql import functions as F
 from .common import keep, map_rows
 
 MAX_LABELLED = 20_000     # expected size of the sample that the model is fitted on
-FEATURES = 512            # words of the model
-MIN_DOCS = 4              # labelled documents that a feature word must occur in
-MIN_STAT = 12.0           # G2 that a feature word must reach, and as a share of the best word's
-MIN_SHARE = 0.15
+FEATURES = 16_384         # bound of the driver's table; the significant features are fewer
+GRAMS = (4, 5)            # characters of a feature that is a part of a word
+MIN_DOCS = 4              # labelled documents that a feature must occur in
+MIN_STAT = 12.0           # G2 that a feature must reach
+MEMO_WORDS = 150_000      # words whose features a worker remembers, and features it counts at once
 GRADES = 5
 RIDGE = 0.05
 MARKER_ODDS = 3.0         # log odds ratio from which a feature is a marker
@@ -44,24 +47,65 @@ DECISION = 0.5            # toxic if P(grade > 0) reaches this
 _words = re.compile(r"\w+").findall
 
 
+def features_of(word: str) -> set[str]:
+    """The word, and its runs of characters after a ``~``; ``<`` and ``>`` are its ends."""
+    held = f"<{word}>"
+    return {word, *("~" + held[i:i + k] for k in GRAMS for i in range(len(held) - k + 1))}
+
+
+class Finder:
+    """Feature numbers of words and texts, memoised up to a bound."""
+
+    def __init__(self, numbers: dict):
+        self.numbers, self.memo = numbers, {}
+
+    def of(self, word: str) -> tuple:
+        got = self.memo.get(word)
+        if got is None:
+            if len(self.memo) >= MEMO_WORDS:
+                self.memo.clear()
+            got = self.memo[word] = tuple(sorted(self.numbers[f] for f in features_of(word) if f in self.numbers))
+        return got
+
+    def __call__(self, text: str) -> Counter:
+        counts: Counter = Counter()
+        for word, n in Counter(_words(text.lower())).items():
+            for j in self.of(word):
+                counts[j] += n
+        return counts
+
+
+class Sparse:
+    """A matrix by its cells, with the products that ``fit_ordinal`` needs."""
+
+    def __init__(self, i: np.ndarray, j: np.ndarray, v: np.ndarray, shape: tuple[int, int]):
+        self.i, self.j, self.v, self.shape = i, j, v, shape
+
+    @property
+    def T(self) -> Sparse:
+        return Sparse(self.j, self.i, self.v, self.shape[::-1])
+
+    def __matmul__(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.i, self.v * w[self.j], self.shape[0])
+
+
 @dataclass(frozen=True)
 class OrdinalModel:
-    """``words`` to feature numbers, shared ``weights``, ordered ``thresholds``."""
+    """``words`` (features) to their numbers, shared ``weights``, ordered ``thresholds``."""
     words: dict
     weights: np.ndarray
     thresholds: np.ndarray
 
-    def above(self, text: str) -> np.ndarray:
-        """P(grade > k) for every threshold."""
+    def above(self, text: str, finder: Finder | None = None) -> np.ndarray:
+        """P(grade > k) for every threshold; ``finder``: one of ``words``, with its memo."""
         if not self.words:
             return np.zeros(len(self.thresholds))
-        counts = Counter(map(self.words.get, _words(text.lower())))
-        counts.pop(None, None)
+        counts = (finder or Finder(self.words))(text)
         s = sum(self.weights[j] * np.log1p(n) for j, n in sorted(counts.items()))
         return 1 / (1 + np.exp(np.clip(self.thresholds - s, -50, 50)))
 
 
-def fit_ordinal(x: np.ndarray, y: np.ndarray, grades: int = GRADES, ridge: float = RIDGE,
+def fit_ordinal(x: np.ndarray | Sparse, y: np.ndarray, grades: int = GRADES, ridge: float = RIDGE,
                 steps: int = 400, rate: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds of least penalised negative log likelihood (Adam).
     Thresholds are a first one and positive distances, so they stay ordered."""
@@ -114,13 +158,20 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Ordinal
         return none
 
     def present(batches):
+        held, marked = Counter(), Counter()     # sums of a part of the rows
         for b in batches:
             for text, toxic in zip(b["text"].to_pylist(), b["toxic"].to_pylist()):
-                for w in set(_words(text.lower())):
-                    yield w, toxic
-
-    counts = (map_rows(sample, "word string, toxic int", present).groupBy("word")
-              .agg(F.sum("toxic").alias("a"), F.count("*").alias("n")).filter(f"n >= {MIN_DOCS}")
+                got = set().union(*map(features_of, set(_words(text.lower()))))
+                held.update(got)
+                if toxic:
+                    marked.update(got)
+                if len(held) > MEMO_WORDS:
+                    yield from ((w, marked[w], n) for w, n in held.items())
+                    held, marked = Counter(), Counter()
+        yield from ((w, marked[w], n) for w, n in held.items())
+
+    counts = (map_rows(sample, "word string, a bigint, n bigint", present).groupBy("word")
+              .agg(F.sum("a").alias("a"), F.sum("n").alias("n")).filter(f"n >= {MIN_DOCS}")
               .withColumn("b", F.col("n") - F.col("a")))
 
     def g2(*cells):         # each: observed, expected
@@ -131,22 +182,23 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Ordinal
               (yes - a, (total - F.col("n")) * (yes / total)), (no - b, (total - F.col("n")) * (no / total)))
     odds = (F.log((a + 0.5) / (yes - a + 0.5)) - F.log((b + 0.5) / (no - b + 0.5)))
     best = (counts.select("word", (2 * stat).alias("stat"), odds.alias("odds"))
+            .filter(F.col("stat") >= MIN_STAT)
             .orderBy(F.desc("stat"), "word").limit(FEATURES).collect())     # FEATURES rows at most
-    best = [r for r in best if r.stat >= max(MIN_STAT, MIN_SHARE * best[0].stat)]
     words = {r.word: j for j, r in enumerate(best)}
     markers = {j for j, r in enumerate(best) if r.odds >= MARKER_ODDS}
 
     def features(batches):
+        finder = Finder(words)
         for b in batches:
             for text, toxic in zip(b["text"].to_pylist(), b["toxic"].to_pylist()):
-                got = Counter(map(words.get, _words(text.lower())))
-                got.pop(None, None)
-                yield toxic, sum(n for j, n in got.items() if j in markers), list(got), list(got.values())
+                got = finder(text)
+                marked = sum(not markers.isdisjoint(finder.of(w)) for w in _words(text.lower()))
+                yield toxic, marked, list(got), list(got.values())
 
     got = map_rows(sample, "toxic int, marked bigint, j array<int>, n array<int>", features).toArrow()
-    x = np.zeros((got.num_rows, len(words)), np.float32)
-    for k, (j, n) in enumerate(zip(got["j"].to_pylist(), got["n"].to_pylist())):
-        x[k, j] = np.log1p(n)
+    j, n = (got[c].combine_chunks() for c in ("j", "n"))
+    x = Sparse(np.repeat(np.arange(got.num_rows), j.value_lengths().to_numpy()), j.flatten().to_numpy(),
+               np.log1p(n.flatten().to_numpy()), (got.num_rows, len(words)))
     weights, thresholds = fit_ordinal(x, grades_of(got["toxic"].to_numpy(), got["marked"].to_numpy()))
     return OrdinalModel(words, weights, thresholds)
 
@@ -160,11 +212,12 @@ def grades_of(toxic: np.ndarray, marked: np.ndarray) -> np.ndarray:
 
 def score(docs: DataFrame, model: OrdinalModel, decision: float = DECISION) -> DataFrame:
     """doc_id, severity (expected grade), p_toxic, grade (most probable), toxic.
-    The model is a closure of ``FEATURES`` words at most."""
+    The model is a closure of ``FEATURES`` features at most."""
     def rows(batches):
+        finder = Finder(model.words)
         for b in batches:
             for doc_id, text in zip(b["doc_id"], b["text"]):
-                above = model.above((text.as_py() or b"").decode("utf-8", "replace"))
+                above = model.above((text.as_py() or b"").decode("utf-8", "replace"), finder)
                 each = -np.diff(np.concatenate([[1.0], above, [0.0]]))
                 yield doc_id.as_py(), float(above.sum()), float(above[0]), int(each.argmax()), bool(above[0] >= decision)
 

@@ -40,6 +40,19 @@ def test_toxicity_held_out(spark):
     assert (np.diff(model.thresholds) > 0).all() and scored.severity.between(0, 4).all()
 
 
+def test_toxicity_of_every_language(spark):
+    docs, labels = table(spark, LARGER, "documents"), table(spark, LARGER, "labels")
+    model = toxicity.fit(docs, labels.filter("doc_id % 3 > 0"))
+    assert len(model.words) < toxicity.FEATURES
+    scored = toxicity.score(docs, model).withColumnRenamed("toxic", "found").join(
+        labels.filter("doc_id % 3 = 0"), "doc_id").join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    recall = scored[scored.toxic == 1].groupby("lang").found.mean()      # of all labels, noisy ones too
+    wrong = scored[scored.toxic == 0].groupby("lang").found.mean()
+    print("recall", recall.to_dict(), "false positives", wrong.to_dict(), len(model.words), "features")
+    assert set(recall.index) == {"de", "en", "es", "fr"} and (recall > 0.8).all() and (wrong < 0.02).all()
+    assert scored[scored.toxic == 1].found.mean() > 0.9
+
+
 def test_toxicity_edges(spark):
     docs = docs_of(spark, ODD_TEXTS)
     labels = spark.createDataFrame([(0, 1, 0), (3, 1, None), (None, 1, 1), (999, 1, 1)], "doc_id long, quality int, toxic int")
