@@ -3,15 +3,16 @@ blocks, exact weighted-shingle similarity.
 
 Words are runs of letters, digits and ``_``, lower-cased; shingles are five words
 (the whole sequence of a shorter item), with repeats.  For every item size n a
-document has a window of n words at each word.  A window and an item of its size
-are compared if their SimHashes differ in at most ``RADIUS`` bits: fingerprints
+document has a window of n words at each word; one of fewer words is its own only
+window for n, so an item with words cut off is found too.  A window and an item of
+size n are compared if their SimHashes differ in at most ``RADIUS`` bits: fingerprints
 are cut into ``BLOCKS`` blocks, of which one then differs in at most
 ``RADIUS // BLOCKS`` bits, so an equi-join on block values within that distance
 finds every such pair.  Pairs are kept if their weighted Jaccard similarity
 (shared shingles with repeats over all) is ``SIMILARITY`` or more.
 
-A window of w shingles reaches the similarity only with ``2 w s / (1 + s)``
-shingles of an item of its size.  Two bit maps of fixed size, over the items'
+A window of v shingles reaches the similarity only with ``(v + w) s / (1 + s)``
+shingles of an item of w.  Two bit maps of fixed size, over the items'
 shingles and over (size, shingle), show an upper bound of that number, so
 windows that cannot reach it are never fingerprinted.  Nothing is lost by it, and
 equal windows of many documents are compared once.
@@ -93,9 +94,9 @@ def _slot(hashes: np.ndarray, size: int) -> np.ndarray:
     return (_mixed(hashes + shift) & np.uint64(MAP_BITS - 1)).astype(np.int64)
 
 
-def needed(windows_shingles: int, similarity: float) -> int:
-    """Shingles that two windows of this many share at least."""
-    return math.ceil(2 * windows_shingles * similarity / (1 + similarity) - 1e-9)
+def needed(window: int, item: int, similarity: float) -> int:
+    """Shingles that a window and an item of so many share at least."""
+    return math.ceil((window + item) * similarity / (1 + similarity) - 1e-9)
 
 
 class ItemMaps:
@@ -109,18 +110,19 @@ class ItemMaps:
         return (bits[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 > 0
 
     def windows(self, words: np.ndarray, similarity: float):
-        """(size, places) of the windows that may reach the similarity."""
+        """(size, shingles, places) of the windows that may reach the similarity;
+        the whole of ``words`` for the sizes above its own."""
         by_k: dict[int, np.ndarray] = {}
         places: dict[int, np.ndarray] = {}
         for n in self.sizes:
-            if n > len(words):
-                break
             k = min(n, SHINGLE)
+            own = min(n, len(words)) - k + 1        # shingles of a window
+            if own < 1 or needed(own, n - k + 1, similarity) > own:
+                break                               # too short for this size, and for all above
             if k not in by_k:
                 by_k[k] = shingles(words, k)
                 places[k] = np.flatnonzero(self._has(self.any_size, _slot(by_k[k], 0)))
-            w = n - k + 1
-            need, found = needed(w, similarity), places[k]
+            need, found = needed(own, n - k + 1, similarity), places[k]
             if len(found) < need:
                 continue
             found = found[self._has(self.sized, _slot(by_k[k][found], n))]
@@ -129,7 +131,7 @@ class ItemMaps:
             runs = np.zeros(len(by_k[k]) + 1, np.int32)
             runs[found + 1] = 1
             runs = np.cumsum(runs)
-            starts = np.flatnonzero(runs[w:] - runs[:len(runs) - w] >= need)
+            starts = np.flatnonzero(runs[own:] - runs[:len(runs) - own] >= need)
             if len(starts):
                 yield n, by_k[k], starts
 
@@ -229,6 +231,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     hits = windows.select("doc_id", "at", "n", "line").join(matched(windows, items, similarity), ["n", "line"])
     return (hits.groupBy("doc_id", "item_id").agg(
         F.countDistinct("at").alias("n_windows"),
-        F.max(F.struct("similarity", (-F.col("at")).alias("before"), "n")).alias("best"))
+        F.max(F.struct("similarity", (-F.col("at")).alias("before"),
+                       F.size(F.split("line", " ")).alias("n"))).alias("best"))
         .select("doc_id", "item_id", "n_windows", F.col("best.similarity").alias("similarity"),
                 (-F.col("best.before")).alias("at"), F.col("best.n").alias("n_words")))

@@ -250,6 +250,33 @@ def test_windows_of_benchmark_items(spark):
     assert {k: (r["similarity"], r["at"], r["n_windows"]) for k, r in got.items()} == want and len(want) > 40
 
 
+def test_items_with_words_cut_off(spark):
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(4000)]
+    items = [(k, " ".join(rnd.choice(words) for _ in range(n))) for k, n in enumerate([1, 3, 5, 9, 12, 20, 40, 50, 50, 60] * 2)]
+    items += [(50, " ".join(["again"] * 50)), (51, items[7][1] + " and more")]
+    texts = list(ODD_TEXTS) + [" ".join(["again"] * n) for n in (4, 40, 43, 60)]
+    for k, item in items:
+        own = item.split()
+        for gone in range(min(len(own), 15)):
+            texts += [" ".join(own[:len(own) - gone]), " ".join(own[gone:])]
+        texts.append(" ".join(own[:20] + ["other"] + own[20:-3]))
+    texts.append(" ".join(items[7][1].split()[:46]))
+    got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.contaminated(
+        docs_of(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = {}
+    for d, t in enumerate(texts):
+        own = re.findall(r"\w+", (t or "").lower())
+        for k, item in items:
+            n = min(len(item.split()), len(own))
+            scores = [(decontaminate.weighted_similarity(" ".join(own[p:p + n]), item), -p)
+                      for p in range(len(own) - n + 1)] if n else []
+            if (best := max(scores, default=(0, 0)))[0] >= 0.8:
+                want[d, k] = (best[0], -best[1], sum(s >= 0.8 for s, _ in scores), n)
+    assert {k: (r["similarity"], r["at"], r["n_windows"], r["n_words"]) for k, r in got.items()} == want
+    assert want[len(texts) - 1, 7] == (42 / 46, 0, 1, 46)
+
+
 def removed(texts, width):
     from collections import Counter
     starts = Counter(t[i:i + width] for t in texts for i in range(len(t) - width + 1))
