@@ -15,8 +15,8 @@ so neither a large bucket nor its pairs ever meet in one task or in the result.
 Defined cases: a null or word-less text has fingerprint zero and links like any
 other; fewer words than a shingle make one shingle; repeated rows and equal
 texts share a fingerprint; an empty table gives no rows; a null doc_id keeps its
-row, and its component is the smallest known doc_id of the group (null if there
-is none); only doc_id and text are read.
+row and links like any other, and its component is the smallest known doc_id of
+the group (null if there is none); only doc_id and text are read.
 """
 from __future__ import annotations
 
@@ -131,9 +131,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     """doc_id, fp, component_id (smallest doc_id reachable) of every row."""
     prints = keep(fingerprints(docs, shingle), "simhash-prints")
     distinct = keep(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-distinct")
-    roots = components(links(distinct.filter("rep is not null"), radius))
-    of_print = (distinct.join(roots, distinct.rep == roots.node, "left")
-                .select("fp", F.coalesce("component", "rep").alias("component_id")))
+    # linked by fingerprint: those that only rows without a doc_id have take part
+    roots = components(links(distinct.select("fp", F.col("fp").alias("rep")), radius))
+    rooted = keep(distinct.join(roots, distinct.fp == roots.node, "left")
+                  .select("fp", "rep", F.coalesce("component", "fp").alias("root")), "simhash-roots")
+    least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+    of_print = rooted.join(least, "root").select("fp", "component_id")
     return prints.join(of_print, "fp", "left").select("doc_id", "fp", "component_id")
 
 

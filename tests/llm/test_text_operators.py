@@ -222,6 +222,23 @@ def test_simhash_components(spark, monkeypatch):
     assert simhash.near_duplicates(docs_of(spark, texts).limit(0)).count() == 0
 
 
+def test_rows_without_an_id_link_others(spark):
+    rnd = random.Random(4)
+    base = [f"w{rnd.randrange(300)}" for _ in range(250)]
+    bits = lambda x, y: (simhash.fingerprint(x.encode()) ^ simhash.fingerprint(y.encode())).bit_count()
+    middle, near = " ".join(base), []
+    while not near or bits(near[0], near[-1]) <= 4:
+        copy = list(base)
+        copy[rnd.randrange(250)] = f"x{rnd.randrange(300)}"
+        if 1 <= bits(middle, " ".join(copy)) <= 4:
+            near.append(" ".join(copy))
+    alone = " ".join(f"y{i}" for i in range(50))
+    docs = spark.createDataFrame([(7, near[0]), (None, middle), (3, near[-1]), (None, alone), (None, alone)],
+                                 "doc_id long, text string")
+    got = sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in simhash.near_duplicates(docs).collect())
+    assert got == [(0, 0), (0, 0), (0, 3), (3, 3), (7, 3)]
+
+
 def test_windows_of_benchmark_items(spark):
     rnd = random.Random(3)
     words = [f"w{i}" for i in range(4000)]
