@@ -1,15 +1,20 @@
 """The registered queries of this package."""
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, capfilter, chatformat, decontaminate, secrets, simhash, suffixdedup, tokenfile, toxicity, urlfilter
+from . import (bpe, capfilter, centroids, chatformat, covertree, decontaminate, packing, secrets, simhash, suffixdedup,
+               tokenfile, toxicity, urlfilter)
 from .common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PACK_END_ID = 1
 #: Rules of the contract: host, path, verdict.
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block"))
@@ -77,10 +82,26 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.span_strings(F.concat("base", "linked")).alias("spans"))
 
 
+def op11_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return covertree.hard_negatives(rows.withColumn("label", label))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.described(centroids.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dim=64))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, PACK_END_ID, per_piece=zlib.crc32)
+    return out.select("doc_id", "start", "length", F.col("piece").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_embedding_near_dedup, op2_simhash_near_dedup, op3_chat_formatting, op4_benchmark_decontamination,
-        op5_url_filters, op6_toxicity, op7_suffix_array_dedup, op8_token_id_output, op9_bpe_encode_decode, op10_secret_scans)}
+        op5_url_filters, op6_toxicity, op7_suffix_array_dedup, op8_token_id_output, op9_bpe_encode_decode, op10_secret_scans,
+        op11_hard_negative_mining, op12_centroid_clustering, op13_packing)}
 
 
 def oracles() -> dict[str, str]:
