@@ -11,8 +11,9 @@ vector.  Its children are a net of its vectors, their radii at most 1/``STEP`` o
 own, level by level, down to leaves of ``LEAF`` rows.  With t the angle between anchor
 and centre and p that between centre and furthest vector, scores in the node lie
 within |anchor| * M * cos(t -+ p).  Nodes outside the wanted window of scores, or
-below the results held, are skipped; the others are taken best bound first, and rows
-of leaves are scored exactly in integers.
+below the results held, are skipped; the others are taken best bound first (anchors
+that want a leaf share its reading), and rows of leaves are scored exactly in whole
+numbers.
 
 1. Anchors meet the trees of their own label: their first positives.
 2. Anchors with the windows of their positives' scores meet all other trees.
@@ -29,8 +30,6 @@ job.  Only vec_id, label and embedding are read.
 """
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,10 +55,10 @@ class CoverTree:
         self.centre, self.radius, self.lo, self.hi, self.children = [], [], [], [], []
         self.order: list[np.ndarray] = []
         self.rows = 0
-        first = int(np.lexsort((ids,))[0])
-        self._build(first, np.arange(len(ids)))
+        self._build(int(ids.argmin()), np.arange(len(ids)))
         order = np.concatenate(self.order)
         self.ids, self.copies, self.x = ids[order], copies[order], np.ascontiguousarray(x[order])
+        self.xf, self.largest = self.x.astype(float), int(np.abs(x).max(initial=0))
         self.centres = x[self.centre].astype(float)
         self.radius = np.array(self.radius) * (1 + 1e-9) + 1e-9     # rounding never narrows a bound
         del self.points, self.order
@@ -92,61 +91,124 @@ class CoverTree:
                     centre_of_child = int(rows[0])
                     far = np.sqrt(((self.points[rows] - self.points[centre_of_child]) ** 2).sum(axis=1))
 
-    def bounds(self, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Least and greatest score that a node's rows can have: nodes x anchors."""
+    def bounds(self, nodes: np.ndarray, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Least and greatest score that the nodes' rows can have: nodes x anchors."""
         q = anchors.astype(float)
         size = np.sqrt((q * q).sum(axis=1))[None, :] * self.longest
+        wide = np.full((len(nodes), 1), np.pi)
+        if self.longest:
+            wide = 2 * np.arcsin(np.clip(self.radius[nodes] / (2 * self.longest), 0, 1))[:, None]
         with np.errstate(divide="ignore", invalid="ignore"):
-            at = np.arccos(np.clip(np.where(size > 0, (self.centres @ q.T) / size, 0.0), -1, 1))
-            wide = 2 * np.arcsin(np.clip(self.radius / (2 * self.longest), 0, 1))[:, None] if self.longest else np.pi
+            at = np.arccos(np.clip(np.where(size > 0, (self.centres[nodes] @ q.T) / size, 0.0), -1, 1))
         slack = 1e-7 * size + 1e-6
         return size * np.cos(np.minimum(np.pi, at + wide)) - slack, size * np.cos(np.maximum(0, at - wide)) + slack
 
-    def search(self, q: np.ndarray, least, greatest, windows: list[tuple[int, int]], k: int, leaves: dict,
-               without: tuple | None = None) -> list[list[tuple[int, int]]]:
-        """Per window (low, high): the first ``k`` (score, id) with low <= score <= high, copies
-        counted.  ``least`` and ``greatest`` bound each node; ``leaves`` holds scores computed
-        before; ``without`` (id, vector) takes one copy of that row away."""
-        out = []
-        for low, high in windows:
-            held: list[tuple[int, int]] = []
-            todo = [(-min(greatest[0], high), 0)]
-            while todo:
-                best, node = heapq.heappop(todo)
-                if len(held) >= k and -best < held[-1][0]:
-                    break
-                if least[node] > high or greatest[node] < low:
-                    continue
-                if self.children[node]:
-                    for child in self.children[node]:
-                        if least[child] <= high and greatest[child] >= low:
-                            heapq.heappush(todo, (-min(greatest[child], high), child))
-                    continue
-                lo, hi = self.lo[node], self.hi[node]
-                if node not in leaves:
-                    leaves[node] = self._scores(lo, hi, q)
-                scores = leaves[node]
-                fit = (scores >= low) & (scores <= high)
-                if len(held) >= k:
-                    fit &= scores >= held[-1][0]
-                at = np.flatnonzero(fit)
-                if not len(at):
-                    continue
-                at = at[np.lexsort((self.ids[lo:hi][at], -scores[at]))]
-                new = []
-                for r in at.tolist():
-                    copies = int(self.copies[lo + r])
-                    if without is not None and self.ids[lo + r] == without[0] and np.array_equal(self.x[lo + r], without[1]):
-                        copies -= 1
-                    new += [(int(scores[r]), int(self.ids[lo + r]))] * min(copies, k)
-                    if len(new) >= k:
-                        break
-                held = sorted(held + new, key=lambda s: (-s[0], s[1]))[:k]
-            out.append(held)
-        return out
-
-    def _scores(self, lo: int, hi: int, q: np.ndarray) -> np.ndarray:
-        return self.x[lo:hi] @ q
+    def leaves_for(self, anchors: np.ndarray, low: np.ndarray, high: np.ndarray):
+        """Descent level by level: the leaves that some anchor's windows reach, with the
+        bounds of their scores (leaves x anchors)."""
+        nodes, found = np.array([0]), []
+        alive = np.ones((1, len(anchors)), bool)
+        while len(nodes):
+            least, greatest = self.bounds(nodes, anchors)
+            inside = ((greatest[:, :, None] >= low) & (least[:, :, None] <= high)).any(axis=2) & alive
+            greatest[~inside] = -np.inf
+            below: list[int] = []
+            of: list[int] = []
+            for r in np.flatnonzero(inside.any(axis=1)).tolist():
+                if children := self.children[nodes[r]]:
+                    below += children
+                    of += [r] * len(children)
+                else:
+                    found.append((nodes[r], least[r], greatest[r]))
+            nodes, alive = np.array(below, np.int64), inside[of]
+        if not found:
+            return np.zeros(0, np.int64), np.zeros((0, len(anchors))), np.zeros((0, len(anchors)))
+        leaves, least, greatest = zip(*found)
+        return np.array(leaves), np.array(least), np.array(greatest)
+
+    def search(self, anchors: np.ndarray, low: np.ndarray, high: np.ndarray, k: int,
+               own: np.ndarray | None = None) -> "Hits":
+        """The first ``k`` rows by score, then id, of every anchor's windows low <= score <= high
+        (anchors x windows), copies counted.  Leaves are read best bound first, in groups that
+        double in size, each leaf for all anchors that want it.  ``own`` holds the anchors' ids
+        where they are rows of this tree: one copy of theirs is left out."""
+        leaves, least, greatest = self.leaves_for(anchors, low, high)
+        hits = Hits(self, low, high, k, anchors, own)
+        order = np.argsort(-greatest, axis=0, kind="stable")
+        at, size = 0, 1
+        exact = anchors.astype(float) if anchors.shape[1] * np.abs(anchors).max(initial=0) * self.largest < 1 << 53 else anchors
+        rows = self.xf if exact is not anchors else self.x
+        while at < len(leaves):
+            group = order[at:at + size]
+            floor = np.maximum(low, hits.floor)
+            # a leaf counts if its bounds reach what some window still wants
+            wanted = ((np.take_along_axis(greatest, group, 0)[:, :, None] >= floor)
+                      & (np.take_along_axis(least, group, 0)[:, :, None] <= high)).any(axis=2)
+            leaf, who = group[wanted], np.broadcast_to(np.arange(len(anchors)), group.shape)[wanted]
+            by = np.argsort(leaf, kind="stable")
+            leaf, who = leaf[by], who[by]
+            cuts = [0, *(np.flatnonzero(np.diff(leaf)) + 1).tolist(), len(leaf)]
+            for a, z in zip(cuts, cuts[1:]):
+                if z > a:
+                    lo, hi = self.lo[leaves[leaf[a]]], self.hi[leaves[leaf[a]]]
+                    scores = (rows[lo:hi] @ exact[who[a:z]].T).astype(np.int64)
+                    hits.add(scores, lo, who[a:z], floor)
+            hits.settle()
+            at, size = at + size, 2 * size
+        return hits
+
+
+class Hits:
+    """Rows found so far per anchor and window, cut to the first ``k`` of each."""
+
+    def __init__(self, tree: CoverTree, low: np.ndarray, high: np.ndarray, k: int, anchors: np.ndarray, own):
+        self.tree, self.low, self.high, self.k, self.anchors, self.own = tree, low, high, k, anchors, own
+        self.floor = np.full(low.shape, -(1 << 63), np.int64)     # the k-th score of full windows
+        self.new: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        none = np.zeros(0, np.int64)
+        self.anchor = self.window = self.score = self.row = self.times = none
+
+    def add(self, scores: np.ndarray, lo: int, who: np.ndarray, floor: np.ndarray) -> None:
+        """Scores (rows from ``lo`` on x anchors ``who``) that some window wants."""
+        most = self.high[who].max(axis=1)
+        fit = (scores >= floor[who].min(axis=1)) & (scores <= most)
+        r, c = np.nonzero(fit)
+        self.new.append((who[c], scores[r, c], lo + r))
+
+    def settle(self) -> None:
+        if not self.new:
+            return
+        who, score, row = (np.concatenate(x) for x in zip(*self.new))
+        self.new = []
+        times = self.tree.copies[row]
+        if self.own is not None:
+            same = np.flatnonzero(self.tree.ids[row] == self.own[who])
+            twin = same[(self.tree.x[row[same]] == self.anchors[who[same]]).all(axis=1)]
+            times[twin] -= 1
+        parts = [(self.anchor, self.window, self.score, self.row, self.times)]
+        for w in range(self.low.shape[1]):
+            fit = np.flatnonzero((score >= self.low[who, w]) & (score <= self.high[who, w]) & (score >= self.floor[who, w]) & (times > 0))
+            parts.append((who[fit], np.full(len(fit), w), score[fit], row[fit], times[fit]))
+        anchor, window, score, row, times = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((row, self.tree.ids[row], -score, window, anchor))
+        anchor, window, score, row, times = anchor[order], window[order], score[order], row[order], times[order]
+        if not len(anchor):
+            return
+        first = np.flatnonzero(np.r_[True, (np.diff(anchor) != 0) | (np.diff(window) != 0)])
+        group = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(anchor)]))
+        before = np.cumsum(times) - times
+        before -= before[first][group]
+        held = before < self.k
+        full = held & (before + times >= self.k)
+        self.floor[anchor[full], window[full]] = score[full]
+        self.anchor, self.window, self.score, self.row = anchor[held], window[held], score[held], row[held]
+        # copies beyond the k-th never count
+        self.times = np.minimum(times[held], self.k - before[held])
+
+    def rows(self):
+        """(anchor, window, score, id, times), best first inside a window."""
+        return zip(self.anchor.tolist(), self.window.tolist(), self.score.tolist(), self.tree.ids[self.row].tolist(),
+                   self.times.tolist())
 
 
 def whole_numbers(vectors: DataFrame, scale: int) -> DataFrame:
@@ -207,16 +269,18 @@ def _meet(trees: DataFrame, anchors: DataFrame, k: int) -> DataFrame:
 
 def _answers(tree: CoverTree, b: dict, dim: int, k: int):
     q = _array(b["x"], dim)
-    most = dim * int(np.abs(q).max(initial=0)) * int(np.abs(tree.x).max(initial=0))
-    if most >= 1 << 63:
+    if dim * int(np.abs(q).max(initial=0)) * tree.largest >= 1 << 63:
         raise OverflowError("scores do not fit a long")
-    least, greatest = tree.bounds(q)
-    for r, (akey, vec_id, windows, own) in enumerate(zip(*(b[c].to_pylist() for c in ("akey", "vec_id", "windows", "self")))):
-        spans = [(w["low"], w["high"]) for w in windows]
-        found = tree.search(q[r], least[:, r], greatest[:, r], spans, k, {}, (vec_id, q[r]) if own else None)
-        for (low, high), rows in zip(spans, found):
-            for score, at in rows:
-                yield akey, low, high, score, None if at == _NO_ID else at
+    akeys, own = b["akey"].to_pylist(), b["self"][0].as_py()
+    spans = [[(w["low"], w["high"]) for w in windows] for windows in b["windows"].to_pylist()]
+    low, high = np.full((len(q), max(map(len, spans))), 1, np.int64), np.zeros((len(q), max(map(len, spans))), np.int64)
+    for r, windows in enumerate(spans):
+        for w, (a, z) in enumerate(windows):
+            low[r, w], high[r, w] = a, z
+    ids = b["vec_id"].to_numpy(zero_copy_only=False) if own else None
+    for r, w, score, at, times in tree.search(q, low, high, k, ids).rows():
+        for _ in range(times):
+            yield akeys[r], *spans[r][w], score, None if at == _NO_ID else at
 
 
 def _first(found: DataFrame, k: int, *keys: str) -> DataFrame:

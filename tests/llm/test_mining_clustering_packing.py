@@ -63,26 +63,27 @@ def test_hard_negatives_of_an_empty_table(spark):
     assert covertree.hard_negatives(vectors_of(spark, [(100, 1, [1.0, 2.0])])).count() == 0
 
 
-def test_cover_tree_bounds_hold_and_skip_nodes():
+def test_cover_tree_bounds_hold_and_skip_nodes(monkeypatch):
     rng = np.random.default_rng(3)
     middle = rng.normal(size=(40, 8)) * 400
     x = np.floor(middle[rng.integers(0, 40, 3000)] + rng.normal(size=(3000, 8)) * 20).astype(np.int64)
     tree = covertree.CoverTree(np.arange(3000), np.ones(3000, np.int64), x)
     assert sorted(tree.ids.tolist()) == list(range(3000))
     anchors = x[:50]
-    least, greatest = tree.bounds(anchors)
+    least, greatest = tree.bounds(np.arange(len(tree.lo)), anchors)
     for node in range(len(tree.lo)):
         if tree.hi[node] > tree.lo[node]:
             s = tree.x[tree.lo[node]:tree.hi[node]] @ anchors.T
             assert (s.min(axis=0) >= least[node]).all() and (s.max(axis=0) <= greatest[node]).all()
-    read = 0
+    read = []
+    add = covertree.Hits.add
+    monkeypatch.setattr(covertree.Hits, "add", lambda self, scores, *rest: read.append(scores.size) or add(self, scores, *rest))
+    low, high = np.full((50, 1), -10 ** 9), np.full((50, 1), 10 ** 9)
+    got = list(tree.search(anchors, low, high, 5).rows())
     for r in range(50):
-        leaves = {}
-        (got,) = tree.search(anchors[r], least[:, r], greatest[:, r], [(-10 ** 9, 10 ** 9)], 5, leaves)
         s = x @ anchors[r]
-        assert got == [(int(s[i]), int(i)) for i in np.lexsort((np.arange(3000), -s))[:5]]
-        read += sum(len(v) for v in leaves.values())
-    assert read < 50 * 3000 * 0.25          # clustered vectors: most leaves are never read
+        assert [(a[2], a[3]) for a in got if a[0] == r] == [(int(s[i]), int(i)) for i in np.lexsort((np.arange(3000), -s))[:5]]
+    assert sum(read) < 50 * 3000 * 0.25          # clustered vectors: most leaves are never read
 
 
 def test_scores_that_do_not_fit_stop_the_job(spark):
