@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 from ..operators.quality import missing_fraction, null_profile
-from ..operators.sample import hash_split
+from ..operators.sample import hash_split, stratified_folds
 from ..operators.sequence import windows_long
 from ..plans.sequences import DAILY_FEATURES, SequencePrep, daily_series
 from ..sources.tables import read_table
@@ -45,6 +45,10 @@ def q_hash_split(spark, sf):
     return hash_split(lab, "doc_id", 0.8, 1)
 
 
+def q_stratified_folds(spark, sf):
+    return stratified_folds(read_table(spark, sf, "labels", ["doc_id", "toxic"]), "doc_id", "toxic")
+
+
 def q_oversample(spark, sf):
     sp = PREP.split(PREP.imputed(series(spark, sf)))
     return rounded(PREP.train_oversampled(sp))
@@ -63,6 +67,7 @@ QUERIES = {
     "median_impute": q_median_impute,
     "entity_split": q_entity_split,
     "hash_split": q_hash_split,
+    "stratified_folds": q_stratified_folds,
     "oversample": q_oversample,
     "sequence_windows": q_sequence_windows,
 }

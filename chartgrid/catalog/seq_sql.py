@@ -35,7 +35,7 @@ imputed AS (SELECT e.user_id, e.day, coalesce(e.avg_value, m.m1) AS avg_value,
   coalesce(e.min_value, m.m2) AS min_value, coalesce(e.max_value, m.m3) AS max_value,
   coalesce(e.sum_value, m.m4) AS sum_value, coalesce(e.n_events, m.m5) AS n_events,
   coalesce(e.n_types, m.m6) AS n_types, e.label FROM exact e, med m),
-split AS (SELECT *, CASE WHEN ((CAST(user_id AS BIGINT) % 1000003) * 7919 + 0 * 37) % 1000 < 800
+split AS (SELECT *, CASE WHEN CAST('0x' || left(md5('0:' || user_id), 8) AS BIGINT) % 1000 < 800
   THEN 'train' ELSE 'test' END AS split FROM imputed),
 over AS (
   SELECT user_id, day, avg_value, min_value, max_value, sum_value, n_events, n_types, label, 0 AS copy
@@ -71,8 +71,10 @@ def oracles() -> dict[str, str]:
         "exact_length_entities": _q("SELECT * FROM exact", F6),
         "median_impute": _q("SELECT * FROM imputed", F6),
         "entity_split": _q("SELECT DISTINCT user_id, split FROM split"),
-        "hash_split": """SELECT doc_id, quality, toxic, CASE WHEN ((CAST(doc_id AS BIGINT) % 1000003) * 7919 + 1 * 37) % 1000 < 800
+        "hash_split": """SELECT doc_id, quality, toxic, CASE WHEN CAST('0x' || left(md5('1:' || doc_id), 8) AS BIGINT) % 1000 < 800
   THEN 'train' ELSE 'test' END AS split FROM labels""",
+        "stratified_folds": """SELECT doc_id, toxic, CAST((row_number() OVER (ORDER BY toxic NULLS FIRST,
+  CAST('0x' || left(md5('0:' || doc_id), 8) AS BIGINT), doc_id) - 1) % 5 AS INTEGER) AS fold FROM labels""",
         "oversample": _q("SELECT * FROM over", F6),
         "sequence_windows": _q("SELECT * FROM win", F6),
     }

@@ -1,5 +1,5 @@
-"""Entity-level sampling: portable hash split, minority oversampling,
-median imputation."""
+"""Entity-level sampling: portable hash split, stratified folds, minority
+oversampling, median imputation."""
 from __future__ import annotations
 
 from typing import Sequence
@@ -8,15 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def portable_bucket(id_col, seed: int = 0, buckets: int = 1000) -> Column:
-    """``((id % 1000003) * 7919 + seed * 37) % buckets`` on BIGINT.
+def mixed_hash(id_col, seed: int = 0) -> Column:
+    """0 to 2^32 - 1: the first eight hex digits of ``md5('<seed>:<id>')``.
 
-    A plain arithmetic hash, identical in any SQL engine and independent of
-    partitioning (``randomSplit`` is not), so a split can be recomputed.
+    Ids in any arithmetic pattern (strides, blocks) spread evenly, any SQL engine
+    computes the same number, and it does not depend on partitioning
+    (``randomSplit`` does).  A NULL id gives NULL.
     """
     c = F.col(id_col) if isinstance(id_col, str) else id_col
-    c = c.cast("bigint")
-    return F.pmod(F.pmod(c, F.lit(1000003)) * F.lit(7919) + F.lit(seed * 37), F.lit(buckets))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), c.cast("bigint").cast("string")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+
+
+def portable_bucket(id_col, seed: int = 0, buckets: int = 1000) -> Column:
+    """``mixed_hash`` modulo ``buckets``: every bucket holds about as many ids."""
+    return F.pmod(mixed_hash(id_col, seed), F.lit(buckets))
 
 
 def hash_split(df: DataFrame, id_col: str, train_fraction: float = 0.8, seed: int = 0,
@@ -33,6 +39,20 @@ def split_sides(df: DataFrame, id_col: str, train_fraction: float = 0.8, seed: i
             t.where(F.col("__split") == "test").drop("__split"))
 
 
+def stratified_folds(df: DataFrame, id_col: str, label_col: str, folds: int = 5, seed: int = 0,
+                     out_col: str = "fold") -> DataFrame:
+    """Exact folds 0 to ``folds - 1``: rows are ranked by (label, mixed hash of the id,
+    id) and dealt in turn, so the sizes of the folds differ by one at most, in the
+    table and in every class.  No fold lacks a class that has ``folds`` rows.
+
+    The ranks come from :func:`chartgrid.operators.positions.positions`, so no class
+    is sorted in one task.  Rows with equal label and id follow each other.
+    """
+    from .positions import positions
+    ranked = positions(df.withColumn("__mix", mixed_hash(id_col, seed)), [], label_col, ["__mix", id_col], "__rank")
+    return ranked.withColumn(out_col, F.pmod("__rank", F.lit(folds)).cast("int")).drop("__mix", "__rank")
+
+
 def oversample(df: DataFrame, label_col: str, copies: int = 6, positive=1) -> DataFrame:
     """The rows with ``copies`` extra copies of the positive-label rows.  Ids stay
     as they are; (id, ``copy``) names an entity, 0 being the original."""
