@@ -21,8 +21,8 @@ ordered by their text's hash; an empty table writes no shard.
 """
 from __future__ import annotations
 
-import json
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -142,12 +142,29 @@ class ShardReader:
         self.file.close()
 
 
+class WordMemo(dict):
+    """Ids of units (see ``Splitter``) as bytes; a missing unit is encoded once.  A full
+    memo starts again."""
+
+    MOST = 800_000
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, unit) -> bytes:
+        if len(self) >= self.MOST:
+            self.clear()
+        ids = self[unit] = array("I", self.encode(unit)).tobytes()
+        return ids
+
+
 class LibraryIds:
     """Ids by the tokenizers library.  Texts are cut into words as the file's
-    normalizer and pre-tokenizer do it; the library encodes each new word, and a
-    bounded memo keeps the words that were encoded."""
+    normalizer and pre-tokenizer do it; the library's model encodes each new word, and
+    a bounded memo keeps the words that were encoded."""
 
-    MEMO, PART, BATCH = 800_000, 50_000, 2_000
+    PART = 1 << 20          # bytes of a text that are cut at once
 
     def __init__(self, path: str):
         # Spark spreads the work; threads of the library's own would only add to it
@@ -155,34 +172,38 @@ class LibraryIds:
         from tokenizers import Tokenizer
 
         whole = Tokenizer.from_file(path)
-        self.split = Splitter(whole)
-        self.words = Tokenizer.from_str(json.dumps(self.split.said | {
-            "normalizer": None, "pre_tokenizer": None, "post_processor": None, "added_tokens": [],
-            "truncation": None, "padding": None}))
-        self.memo: dict = {}
-
-    def _learn(self, units: list) -> None:
-        for k in range(0, len(units), self.BATCH):
-            words = [(u, self.split.words(u)) for u in units[k:k + self.BATCH]]
-            flat = [w for _, ws in words for w in ws if w.__class__ is str]
-            coded = iter(self.words.encode_batch_fast(flat, add_special_tokens=False))
-            for u, ws in words:
-                ids = [i for w in ws for i in (next(coded).ids if w.__class__ is str else [w])]
-                self.memo[u] = array("I", ids).tobytes()
+        self.split, model = Splitter(whole), whole.model
+
+        def encode(unit) -> list[int]:
+            if unit.__class__ is str and unit.isascii() and unit.isprintable():
+                return [t.id for t in model.tokenize(unit)]
+            return [i for w in self.split.words(unit)
+                    for i in ([t.id for t in model.tokenize(w)] if w.__class__ is str else [w])]
+
+        self.memo = WordMemo(encode)
 
     def __call__(self, text: bytes) -> np.ndarray:
-        units, out = self.split.units(text), []
-        for k in range(0, len(units), self.PART):
-            part = units[k:k + self.PART]
-            new = {u for u in part if u not in self.memo}
-            if len(self.memo) + len(new) > self.MEMO:
-                self.memo, new = {}, set(part)
-            if new:
-                self._learn(list(new))
-            out += map(self.memo.__getitem__, part)
+        out: list[bytes] = []
+        for part in parts_of(text, self.PART):
+            out += map(self.memo.__getitem__, self.split.units(part))
         return np.frombuffer(b"".join(out), "<u4")
 
 
+_BREAK = re.compile(rb"[ \n]")
+
+
+def parts_of(text: bytes, size: int) -> Iterator[bytes]:
+    """The text in parts of ``size`` bytes or somewhat more; no unit spans ASCII white
+    space, so a part ends before some (a run without any stays whole)."""
+    at = 0
+    while len(text) - at > size:
+        found = _BREAK.search(text, at + size)
+        to = found.start() if found else len(text)
+        yield text[at:to]
+        at = to
+    yield text[at:]
+
+
 _encoders: dict[str, LibraryIds] = {}
 
 
@@ -221,7 +242,9 @@ def read_token_files(manifest: DataFrame, per_document) -> DataFrame:
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     # one row per shard: the running sum over them is small
     shards = manifest.withColumn("offset", F.coalesce(F.sum("n_tokens").over(before), F.lit(0).cast("bigint")))
-    shards = shards.repartition(F.col("path")).select("path", "offset")
+    # a given number of ranges is kept, so as many tasks as there are shards read them
+    n = max(1, manifest.count())
+    shards = shards.select("shard", "path", "offset").repartitionByRange(n, "shard").select("path", "offset")
 
     def rows(batches):
         for b in batches:
