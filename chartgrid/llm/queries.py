@@ -61,7 +61,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffixdedup.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
-    return out.drop("spans").withColumnRenamed("kept", "kept_sha256")
+    return (out.drop("spans").withColumnRenamed("kept", "kept_sha256")
+            .withColumn("has_repeat", F.col("n_removed") > 0))
 
 
 def op8_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:

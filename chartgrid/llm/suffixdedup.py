@@ -16,8 +16,13 @@ About one place in a hundred is an anchor; only these suffixes are sorted.
    classes of equal windows: l bytes before the anchor and width - l after it.
    All repeated windows of an anchor overlap, so the least and the greatest
    repeated offset give the covered bytes exactly.
-3. A key with more than ``LARGE`` contexts is not sorted in one task: the digests
-   of its windows are counted by an aggregation instead, with the same result.
+3. No key is sorted whole in one task if it has many contexts.  Two contexts that share
+   a window at an offset between a and b share the last a bytes before the anchor and
+   the first width - b after it.  So a group of more than ``GROUP`` contexts is cut by
+   offsets into ``INTERVALS`` parts, and each part by these shared bytes, into groups
+   of their own; windows are compared inside these only.  A group that is still large
+   is cut down to single offsets, where the shared bytes are the window itself and an
+   aggregation counts them.
 4. The covered ranges go back to all anchors with that context, are united per
    document and cut out.
 
@@ -42,7 +47,8 @@ from .deepshallow import deep_shallow_order, neighbour_prefixes
 WIDTH = 400
 CHUNK = 1 << 20          # bytes that are hashed at once
 SORTED = 40_000          # contexts that are sorted at once, keys kept whole
-LARGE = 30_000           # contexts of a key from which its windows are counted instead
+GROUP = 1_000            # contexts of a group that one task sorts; larger groups are cut
+INTERVALS = 8            # parts of the offsets of a group that is cut
 _M = 0x9E3779B97F4A7C15 | 1
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -139,10 +145,12 @@ def _anchor_batch(held: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([key, ctx, ids, tp], ["key", "ctx", "doc_id", "tp"])
 
 
-def repeated_offsets(before: list[bytes], after: list[bytes], n: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Least and greatest offset of a repeated window around each context (-1: none).
-    ``before`` holds the bytes before the anchors, reversed."""
-    m, most = len(after), width - gram_of(width)
+def repeated_offsets(before: list[bytes], after: list[bytes], n: np.ndarray, width: int,
+                     least_offset: int = 0, most_offset: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest offset (of those between the two given) of a repeated window
+    around each context (-1: none).  ``before`` holds the bytes before the anchors, reversed."""
+    m = len(after)
+    most_offset = width - gram_of(width) if most_offset is None else most_offset
     classes = []
     for strings in (before, after):
         order = deep_shallow_order(strings)
@@ -152,7 +160,7 @@ def repeated_offsets(before: list[bytes], after: list[bytes], n: np.ndarray, wid
     (l_rank, l_lcp), (r_rank, r_lcp) = classes
     l_len, r_len = (np.fromiter(map(len, s), np.int64, m) for s in (before, after))
     least, greatest = np.full(m, -1, np.int64), np.full(m, -1, np.int64)
-    for offset in range(most + 1):
+    for offset in range(least_offset, most_offset + 1):
         own = np.flatnonzero((l_len >= offset) & (r_len >= width - offset))
         if not len(own):
             continue
@@ -164,15 +172,48 @@ def repeated_offsets(before: list[bytes], after: list[bytes], n: np.ndarray, wid
     return least, greatest
 
 
+PARTS = "key bigint, ctx bigint, n bigint, body binary, at int, a int, b int, g bigint"
+
+
+def _cut_groups(parts: DataFrame, width: int, intervals: int | None) -> DataFrame:
+    """The contexts once per part of their offsets a to b (``intervals`` parts, or one per
+    offset), in the group ``g`` of those that share the bytes common to all its windows."""
+    def rows(batches):
+        from xxhash import xxh64_intdigest
+
+        for batch in batches:
+            for key, ctx, n, body, at, a, b, _ in zip(*(batch[c].to_pylist() for c in
+                                                        ("key", "ctx", "n", "body", "at", "a", "b", "g"))):
+                step = 1 if intervals is None else -(-(b - a + 1) // intervals)
+                for lo in range(a, b + 1, step):
+                    hi = min(b, lo + step - 1)
+                    if at < lo or len(body) - at < width - hi:
+                        continue        # no window of this context lies there
+                    g = xxh64_intdigest(b"%d %d " % (key, lo) + body[at - lo:at + width - hi])
+                    yield key, ctx, n, body, at, lo, hi, g - (1 << 64) if g >> 63 else g
+
+    return map_rows(parts, PARTS, rows)
+
+
+def _split(parts: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Contexts of groups up to ``GROUP``, and of larger ones (written, so that a hot group
+    can be split by the join's own exchange)."""
+    sizes = keep(parts.groupBy("a", "g").agg(F.count("*").alias("members")), name)
+    sized = parts.join(sizes, ["a", "g"])
+    order = [c.split()[0] for c in PARTS.split(", ")]
+    return sized.filter(F.col("members") <= GROUP).select(order), sized.filter(F.col("members") > GROUP).select(order)
+
+
 def _sorted_ranges(contexts: DataFrame, width: int) -> DataFrame:
-    """key, ctx, least, greatest from the bytes of the contexts of whole keys."""
-    ordered = contexts.repartition("key").sortWithinPartitions("key")
+    """key, ctx, least, greatest from the bytes of the contexts of whole groups."""
+    ordered = contexts.repartition("a", "g").sortWithinPartitions("a", "g")
 
     def rows(batches):
         held: list[tuple] = []
         for b in batches:
-            for row in zip(*(b[c].to_pylist() for c in ("key", "ctx", "n", "body", "at"))):
-                if len(held) >= SORTED and row[0] != held[-1][0]:
+            for row in zip(*(b[c].to_pylist() for c in ("a", "b", "g", "key", "ctx", "n", "body", "at"))):
+                # groups are kept whole; a context is in one group per part of the offsets
+                if held and (row[0] != held[-1][0] or len(held) >= SORTED and row[2] != held[-1][2]):
                     yield from _solve(held, width)
                     held = []
                 held.append(row)
@@ -183,30 +224,26 @@ def _sorted_ranges(contexts: DataFrame, width: int) -> DataFrame:
 
 
 def _solve(held: list[tuple], width: int):
-    keys, ctxs, ns, bodies, ats = zip(*held)
-    least, greatest = repeated_offsets([b[:a][::-1] for b, a in zip(bodies, ats)], [b[a:] for b, a in zip(bodies, ats)],
-                                       np.array(ns), width)
+    a, b, _, keys, ctxs, ns, bodies, ats = zip(*held)
+    least, greatest = repeated_offsets([t[:at][::-1] for t, at in zip(bodies, ats)], [t[at:] for t, at in zip(bodies, ats)],
+                                       np.array(ns), width, a[0], b[0])
     for k in np.flatnonzero(greatest >= 0).tolist():
         yield keys[k], ctxs[k], int(least[k]), int(greatest[k])
 
 
-def _counted_ranges(contexts: DataFrame, width: int) -> DataFrame:
-    """The same for keys with very many contexts, by counting window digests."""
-    most = width - gram_of(width)
-
-    def rows(batches):
-        for b in batches:
-            for key, ctx, n, body, at in zip(*(b[c].to_pylist() for c in ("key", "ctx", "n", "body", "at"))):
-                for offset in range(max(0, width - (len(body) - at)), min(most, at) + 1):
-                    yield key, ctx, n, offset, hashlib.blake2b(body[at - offset:at - offset + width], digest_size=16).digest()
-
-    windows = map_rows(contexts, "key bigint, ctx bigint, n bigint, offset int, window binary", rows)
-    twice = windows.groupBy("key", "offset", "window").agg(F.sum("n").alias("times")).filter("times > 1")
-    return (windows.join(twice, ["key", "offset", "window"], "left_semi").groupBy("key", "ctx")
-            .agg(F.min("offset").alias("least"), F.max("offset").alias("greatest")))
+def _ranges(parts: DataFrame, width: int) -> DataFrame:
+    """key, ctx, least, greatest of all contexts, however many one key has."""
+    small, large = _split(parts, "key-sizes")
+    finer = keep(_cut_groups(large, width, INTERVALS), "cut-keys")
+    small_finer, still = _split(finer, "cut-sizes")
+    windows = keep(_cut_groups(still, width, None).select("key", "ctx", "n", "a", "g"), "single-windows")
+    twice = keep(windows.groupBy("a", "g").agg(F.sum("n").alias("times")).filter("times > 1").select("a", "g"), "repeated-windows")
+    counted = windows.join(twice, ["a", "g"], "left_semi").select("key", "ctx", F.col("a").alias("least"), F.col("a").alias("greatest"))
+    found = _sorted_ranges(small, width).unionByName(_sorted_ranges(small_finer, width)).unionByName(counted)
+    return found.groupBy("key", "ctx").agg(F.min("least").alias("least"), F.max("greatest").alias("greatest"))
 
 
-def repeated_ranges(docs: DataFrame, width: int = WIDTH, large: int = LARGE) -> DataFrame:
+def repeated_ranges(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, th, ranges array<struct<lo, hi>>: bytes covered by repeated strings
     around the anchors of every document that has some."""
     table = keep(anchor_table(docs, width), "anchors")
@@ -222,7 +259,7 @@ def repeated_ranges(docs: DataFrame, width: int = WIDTH, large: int = LARGE) ->
         "key", "ctx", F.lit(0).alias("least"), F.lit(width - gram_of(width)).alias("greatest"))
     mixed = repeated.filter("kinds > 1")
     asked = (mixed.groupBy(F.col("w.doc_id").alias("doc_id"), F.shiftrightunsigned("w.tp", 32).alias("th"))
-             .agg(F.collect_list(F.struct("key", "ctx", "n", "kinds", F.col("w.tp").bitwiseAND(0xFFFFFFFF).alias("place"))).alias("asked")))
+             .agg(F.collect_list(F.struct("key", "ctx", "n", F.col("w.tp").bitwiseAND(0xFFFFFFFF).alias("place"))).alias("asked")))
     t, q = _texts(docs).alias("t"), asked.alias("q")
     bodies = t.join(q, F.col("t.doc_id").eqNullSafe(F.col("q.doc_id")) & (F.col("t.th") == F.col("q.th"))).select("t.text", "q.asked")
 
@@ -233,12 +270,10 @@ def repeated_ranges(docs: DataFrame, width: int = WIDTH, large: int = LARGE) ->
                 raw = text.as_py()
                 for x in wanted.as_py():
                     p = x["place"]
-                    yield x["key"], x["ctx"], x["n"], x["kinds"], raw[max(0, p - most):p + width], min(p, most)
+                    yield x["key"], x["ctx"], x["n"], raw[max(0, p - most):p + width], min(p, most), 0, most, x["key"]
 
-    parts = map_rows(bodies, "key bigint, ctx bigint, n bigint, kinds bigint, body binary, at int", cut)
-    parts = keep(parts, "context-bytes")
-    found = (whole.unionByName(_sorted_ranges(parts.filter(F.col("kinds") <= large), width))
-             .unionByName(_counted_ranges(parts.filter(F.col("kinds") > large), width)))
+    parts = keep(map_rows(bodies, PARTS, cut), "context-bytes")
+    found = whole.unionByName(_ranges(parts, width))
     hit = table.join(found, ["key", "ctx"]).select(
         "doc_id", F.shiftrightunsigned("tp", 32).alias("th"), F.col("tp").bitwiseAND(0xFFFFFFFF).alias("place"), "least", "greatest")
     return (hit.groupBy("doc_id", "th").agg(F.collect_set(F.struct("place", "least", "greatest")).alias("found")))

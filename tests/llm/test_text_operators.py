@@ -307,24 +307,82 @@ def removed(texts, width):
         yield int(gone.sum()), int((np.diff(np.r_[0, gone]) == 1).sum()), bytes(np.frombuffer(t, np.uint8)[~gone])
 
 
-@pytest.mark.parametrize("large", [30_000, 3])
-def test_repeated_bytes(spark, large, monkeypatch):
-    rnd = random.Random(5)
+def repeating_texts(rnd, passage_words, most, n=60):
     words = ["".join(rnd.choice("abcé ") for _ in range(rnd.randint(1, 6))) for _ in range(30)]
-    passages = ["".join(rnd.choice(words) for _ in range(150)) for _ in range(5)]
+    passages = ["".join(rnd.choice(words) for _ in range(passage_words)) for _ in range(5)]
     texts = [*ODD_TEXTS, "x" * 99, "x" * 100, "ab" * 200, passages[0], passages[0]]
-    for _ in range(60):
+    for _ in range(n):
         a, b = rnd.choice(passages), rnd.choice(passages)
         i, j = rnd.randint(0, len(a)), rnd.randint(0, len(b))
-        texts.append(a[i:i + rnd.randint(0, 400)] + rnd.choice(words) + b[j:j + rnd.randint(0, 400)])
-    plain = suffixdedup.repeated_ranges
-    monkeypatch.setattr(suffixdedup, "repeated_ranges", lambda d, w: plain(d, w, large))
-    got = {r["doc_id"]: r for r in suffixdedup.remove_repeats(docs_of(spark, texts), 100).collect()}
-    want = list(removed([(t or "").encode() for t in texts], 100))
+        texts.append(a[i:i + rnd.randint(0, most)] + rnd.choice(words) + b[j:j + rnd.randint(0, most)])
+    return texts
+
+
+# groups of contexts sorted whole, cut once by offsets, and cut down to single offsets
+@pytest.mark.parametrize("width, group, intervals", [(100, 1000, 8), (100, 8, 4), (100, 1, 1), (100, 0, 3),
+                                                     (400, 1000, 8), (400, 2, 8)])
+def test_repeated_bytes(spark, width, group, intervals, monkeypatch):
+    monkeypatch.setattr(suffixdedup, "GROUP", group)
+    monkeypatch.setattr(suffixdedup, "INTERVALS", intervals)
+    texts = repeating_texts(random.Random(5), width * 3 // 2, 4 * width)
+    got = {r["doc_id"]: r for r in suffixdedup.remove_repeats(docs_of(spark, texts), width).collect()}
+    want = list(removed([(t or "").encode() for t in texts], width))
     for i, w in enumerate(want):
         assert (got[i]["n_removed"], got[i]["n_spans"], bytes(got[i]["kept"])) == w
     assert sum(w[0] for w in want) > 1000
-    assert suffixdedup.remove_repeats(docs_of(spark, texts).limit(0), 100).count() == 0
+
+
+def test_repeated_bytes_of_an_empty_table(spark):
+    assert suffixdedup.remove_repeats(docs_of(spark, ["a"]).limit(0), 100).count() == 0
+
+
+def test_hot_passage_is_cut_into_bounded_groups(spark, monkeypatch):
+    """One passage in a third of the documents, each time between other bytes."""
+    monkeypatch.setattr(suffixdedup, "GROUP", 20)
+    rnd = random.Random(9)
+    noise = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    passage = noise(150)
+    texts = [noise(80) + passage + noise(200) if i % 3 == 0 else noise(300) for i in range(300)]
+    seen = []
+    real = suffixdedup._sorted_ranges
+    monkeypatch.setattr(suffixdedup, "_sorted_ranges", lambda c, w: seen.append(c) or real(c, w))
+    got = {r["doc_id"]: r for r in suffixdedup.remove_repeats(docs_of(spark, texts), 100).collect()}
+    for i, w in enumerate(removed([t.encode() for t in texts], 100)):
+        assert (got[i]["n_removed"], got[i]["n_spans"], bytes(got[i]["kept"])) == w
+    for contexts in seen:
+        sizes = [r["count"] for r in contexts.groupBy("a", "g").count().collect()]
+        assert max(sizes, default=0) <= 20
+
+
+def test_anchors_of_a_long_text_do_not_depend_on_its_parts(monkeypatch):
+    text = "".join(random.Random(3).choice("abcd") for _ in range(40_000)).encode() + b"x" * 3000
+    whole = suffixdedup.anchors(text, 400)
+    monkeypatch.setattr(suffixdedup, "CHUNK", 1000)
+    parts = suffixdedup.anchors(text, 400)
+    assert whole[0].tolist() == parts[0].tolist() and whole[1].tolist() == parts[1].tolist() and len(whole[0]) > 100
+
+
+def test_token_ids_of_a_long_text_do_not_depend_on_its_parts(library, monkeypatch):
+    encode = tokenfile.LibraryIds(queries.WORD_BPE)
+    for size, most in ((1 << 20, 800_000), (5, 20)):      # parts of a long text, a memo that fills
+        monkeypatch.setattr(tokenfile.LibraryIds, "PART", size)
+        monkeypatch.setattr(tokenfile.WordMemo, "MOST", most)
+        for text in [t or "" for t in ODD_TEXTS] + random_texts(300, 8):
+            assert encode(text.encode()).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_shards_are_read_back_in_a_task_each(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    docs = docs_of(spark, [f"text {i} of some words" for i in range(400)]).repartition(5)
+    manifest = tokenfile.write_token_files(docs, queries.WORD_BPE, tokenfile.new_folder(spark), 2)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    back = tokenfile.read_token_files(manifest, tokenfile.ids_crc32)
+    shards = manifest.count()
+    assert shards > 1 and back.rdd.getNumPartitions() == shards
+    rows = back.withColumn("task", F.spark_partition_id()).collect()
+    assert len({r.task for r in rows}) == shards
+    rows.sort(key=lambda r: r.doc_id)
+    assert [r.start for r in rows] == [sum(r.n_tokens for r in rows[:k]) for k in range(len(rows))]
 
 
 def test_deep_shallow_order():
