@@ -19,10 +19,11 @@ About one place in a hundred is an anchor; only these suffixes are sorted.
 3. No key is sorted whole in one task if it has many contexts.  Two contexts that share
    a window at an offset between a and b share the last a bytes before the anchor and
    the first width - b after it.  So a group of more than ``GROUP`` contexts is cut by
-   offsets into ``INTERVALS`` parts, and each part by these shared bytes, into groups
-   of their own; windows are compared inside these only.  A group that is still large
-   is cut down to single offsets, where the shared bytes are the window itself and an
-   aggregation counts them.
+   offsets into parts, and each part by these shared bytes, into groups of their own;
+   windows are compared inside these only.  Members of a part whose bytes are equal
+   throughout it become one class, so a passage that many documents share shrinks to
+   one member wherever it fills the windows.  Groups that stay large are cut again
+   (``CUTS``), at last to single offsets, where a class is the window itself.
 4. The covered ranges go back to all anchors with that context, are united per
    document and cut out.
 
@@ -48,7 +49,8 @@ WIDTH = 400
 CHUNK = 1 << 20          # bytes that are hashed at once
 SORTED = 40_000          # contexts that are sorted at once, keys kept whole
 GROUP = 1_000            # contexts of a group that one task sorts; larger groups are cut
-INTERVALS = 8            # parts of the offsets of a group that is cut
+CUTS = (8, 5, None)      # parts of the offsets of a group that is cut, again and again; None: each offset
+SALTS = 16               # tasks that a large group's rows are spread over while they are told apart
 _M = 0x9E3779B97F4A7C15 | 1
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -172,47 +174,47 @@ def repeated_offsets(before: list[bytes], after: list[bytes], n: np.ndarray, wid
     return least, greatest
 
 
-PARTS = "key bigint, ctx bigint, n bigint, body binary, at int, a int, b int, g bigint"
+#: A member of the group ``g``, named (g, w): ``n`` places whose bytes around the anchor (at
+#: ``at`` in the body) are equal for all windows at offsets a to b.
+MEMBER = "g bigint, w bigint, n bigint, body binary, at int, a int, b int"
 
 
-def _cut_groups(parts: DataFrame, width: int, intervals: int | None) -> DataFrame:
-    """The contexts once per part of their offsets a to b (``intervals`` parts, or one per
-    offset), in the group ``g`` of those that share the bytes common to all its windows."""
+def _signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
+
+
+def _cut(members: DataFrame, width: int, parts: int | None) -> DataFrame:
+    """The members once per part of their offsets (``parts`` of them, or one per offset), with
+    the bytes of that part only: pg and pw name the member that was cut."""
     def rows(batches):
         from xxhash import xxh64_intdigest
 
         for batch in batches:
-            for key, ctx, n, body, at, a, b, _ in zip(*(batch[c].to_pylist() for c in
-                                                        ("key", "ctx", "n", "body", "at", "a", "b", "g"))):
-                step = 1 if intervals is None else -(-(b - a + 1) // intervals)
+            for pg, pw, n, body, at, a, b in zip(*(batch[c].to_pylist() for c in ("g", "w", "n", "body", "at", "a", "b"))):
+                step = 1 if parts is None else -(-(b - a + 1) // parts)
                 for lo in range(a, b + 1, step):
                     hi = min(b, lo + step - 1)
                     if at < lo or len(body) - at < width - hi:
-                        continue        # no window of this context lies there
-                    g = xxh64_intdigest(b"%d %d " % (key, lo) + body[at - lo:at + width - hi])
-                    yield key, ctx, n, body, at, lo, hi, g - (1 << 64) if g >> 63 else g
-
-    return map_rows(parts, PARTS, rows)
+                        continue        # no window of this member lies there
+                    own = body[max(0, at - hi):at + width - lo]
+                    g = xxh64_intdigest(b"%d %d " % (lo, hi) + body[at - lo:at + width - hi])
+                    # too short for some window of the part: equal to no other member throughout
+                    whole = at >= hi and len(body) - at >= width - lo
+                    w = xxh64_intdigest(own if whole else b"%d %d %d" % (pg, pw, lo))
+                    yield pg, pw, _signed(g), _signed(w), n, own, min(at, hi), lo, hi
 
+    return map_rows(members, f"pg bigint, pw bigint, {MEMBER}", rows)
 
-def _split(parts: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """Contexts of groups up to ``GROUP``, and of larger ones (written, so that a hot group
-    can be split by the join's own exchange)."""
-    sizes = keep(parts.groupBy("a", "g").agg(F.count("*").alias("members")), name)
-    sized = parts.join(sizes, ["a", "g"])
-    order = [c.split()[0] for c in PARTS.split(", ")]
-    return sized.filter(F.col("members") <= GROUP).select(order), sized.filter(F.col("members") > GROUP).select(order)
 
-
-def _sorted_ranges(contexts: DataFrame, width: int) -> DataFrame:
-    """key, ctx, least, greatest from the bytes of the contexts of whole groups."""
-    ordered = contexts.repartition("a", "g").sortWithinPartitions("a", "g")
+def _sorted_ranges(members: DataFrame, width: int) -> DataFrame:
+    """g, w, least, greatest from the bytes of the members of whole groups."""
+    ordered = members.repartition("a", "g").sortWithinPartitions("a", "g")
 
     def rows(batches):
         held: list[tuple] = []
         for b in batches:
-            for row in zip(*(b[c].to_pylist() for c in ("a", "b", "g", "key", "ctx", "n", "body", "at"))):
-                # groups are kept whole; a context is in one group per part of the offsets
+            for row in zip(*(b[c].to_pylist() for c in ("a", "b", "g", "w", "n", "body", "at"))):
+                # groups are kept whole, parts of the offsets apart
                 if held and (row[0] != held[-1][0] or len(held) >= SORTED and row[2] != held[-1][2]):
                     yield from _solve(held, width)
                     held = []
@@ -220,27 +222,34 @@ def _sorted_ranges(contexts: DataFrame, width: int) -> DataFrame:
         if held:
             yield from _solve(held, width)
 
-    return map_rows(ordered, "key bigint, ctx bigint, least int, greatest int", rows)
+    return map_rows(ordered, "g bigint, w bigint, least int, greatest int", rows)
 
 
 def _solve(held: list[tuple], width: int):
-    a, b, _, keys, ctxs, ns, bodies, ats = zip(*held)
+    a, b, gs, ws, ns, bodies, ats = zip(*held)
     least, greatest = repeated_offsets([t[:at][::-1] for t, at in zip(bodies, ats)], [t[at:] for t, at in zip(bodies, ats)],
                                        np.array(ns), width, a[0], b[0])
     for k in np.flatnonzero(greatest >= 0).tolist():
-        yield keys[k], ctxs[k], int(least[k]), int(greatest[k])
-
-
-def _ranges(parts: DataFrame, width: int) -> DataFrame:
-    """key, ctx, least, greatest of all contexts, however many one key has."""
-    small, large = _split(parts, "key-sizes")
-    finer = keep(_cut_groups(large, width, INTERVALS), "cut-keys")
-    small_finer, still = _split(finer, "cut-sizes")
-    windows = keep(_cut_groups(still, width, None).select("key", "ctx", "n", "a", "g"), "single-windows")
-    twice = keep(windows.groupBy("a", "g").agg(F.sum("n").alias("times")).filter("times > 1").select("a", "g"), "repeated-windows")
-    counted = windows.join(twice, ["a", "g"], "left_semi").select("key", "ctx", F.col("a").alias("least"), F.col("a").alias("greatest"))
-    found = _sorted_ranges(small, width).unionByName(_sorted_ranges(small_finer, width)).unionByName(counted)
-    return found.groupBy("key", "ctx").agg(F.min("least").alias("least"), F.max("greatest").alias("greatest"))
+        yield gs[k], ws[k], int(least[k]), int(greatest[k])
+
+
+def _ranges(members: DataFrame, width: int, cuts: tuple = CUTS) -> DataFrame:
+    """g, w, least, greatest of all members that share a window, however large their groups."""
+    hot = keep(members.groupBy("g").agg(F.count("*").alias("size")).filter(F.col("size") > GROUP).select("g"), "large-groups")
+    if not cuts or hot.isEmpty():
+        return _sorted_ranges(members, width)
+    spread = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumn("hot", F.lit(True))
+    told = (members.withColumn("salt", F.pmod(F.xxhash64("w"), F.lit(SALTS)).cast("int"))
+            .join(spread, ["g", "salt"], "left").withColumn("hot", F.coalesce("hot", F.lit(False))).drop("salt"))
+    told = keep(told, "told-apart")
+    columns = [c.split()[0] for c in MEMBER.split(", ")]
+    cut = keep(_cut(told.filter("hot").select(columns), width, cuts[0]), "cut-groups")
+    classes = keep(cut.groupBy("g", "w").agg(F.sum("n").alias("n"), *[F.first(c).alias(c) for c in ("body", "at", "a", "b")]),
+                   "cut-classes")
+    below = keep(_ranges(classes, width, cuts[1:]), "cut-ranges")
+    up = (cut.select("pg", "pw", "g", "w").join(below, ["g", "w"]).groupBy(F.col("pg").alias("g"), F.col("pw").alias("w"))
+          .agg(F.min("least").alias("least"), F.max("greatest").alias("greatest")))
+    return _sorted_ranges(told.filter("not hot").select(columns), width).unionByName(up)
 
 
 def repeated_ranges(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -270,10 +279,10 @@ def repeated_ranges(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 raw = text.as_py()
                 for x in wanted.as_py():
                     p = x["place"]
-                    yield x["key"], x["ctx"], x["n"], raw[max(0, p - most):p + width], min(p, most), 0, most, x["key"]
+                    yield x["key"], x["ctx"], x["n"], raw[max(0, p - most):p + width], min(p, most), 0, most
 
-    parts = keep(map_rows(bodies, PARTS, cut), "context-bytes")
-    found = whole.unionByName(_ranges(parts, width))
+    members = keep(map_rows(bodies, MEMBER, cut), "context-bytes")
+    found = whole.unionByName(_ranges(members, width, CUTS).withColumnsRenamed({"g": "key", "w": "ctx"}))
     hit = table.join(found, ["key", "ctx"]).select(
         "doc_id", F.shiftrightunsigned("tp", 32).alias("th"), F.col("tp").bitwiseAND(0xFFFFFFFF).alias("place"), "least", "greatest")
     return (hit.groupBy("doc_id", "th").agg(F.collect_set(F.struct("place", "least", "greatest")).alias("found")))

@@ -319,11 +319,11 @@ def repeating_texts(rnd, passage_words, most, n=60):
 
 
 # groups of contexts sorted whole, cut once by offsets, and cut down to single offsets
-@pytest.mark.parametrize("width, group, intervals", [(100, 1000, 8), (100, 8, 4), (100, 1, 1), (100, 0, 3),
-                                                     (400, 1000, 8), (400, 2, 8)])
-def test_repeated_bytes(spark, width, group, intervals, monkeypatch):
+@pytest.mark.parametrize("width, group, cuts", [(100, 1000, (8, 5, None)), (100, 8, (4, None)), (100, 1, (8, 5, None)),
+                                                (100, 0, (None,)), (400, 1000, (8, 5, None)), (400, 2, (8, 5, None))])
+def test_repeated_bytes(spark, width, group, cuts, monkeypatch):
     monkeypatch.setattr(suffixdedup, "GROUP", group)
-    monkeypatch.setattr(suffixdedup, "INTERVALS", intervals)
+    monkeypatch.setattr(suffixdedup, "CUTS", cuts)
     texts = repeating_texts(random.Random(5), width * 3 // 2, 4 * width)
     got = {r["doc_id"]: r for r in suffixdedup.remove_repeats(docs_of(spark, texts), width).collect()}
     want = list(removed([(t or "").encode() for t in texts], width))
@@ -352,6 +352,7 @@ def test_hot_passage_is_cut_into_bounded_groups(spark, monkeypatch):
     for contexts in seen:
         sizes = [r["count"] for r in contexts.groupBy("a", "g").count().collect()]
         assert max(sizes, default=0) <= 20
+    assert len(seen) > 1
 
 
 def test_anchors_of_a_long_text_do_not_depend_on_its_parts(monkeypatch):
