@@ -319,8 +319,8 @@ def repeating_texts(rnd, passage_words, most, n=60):
 
 
 # groups of contexts sorted whole, cut once by offsets, and cut down to single offsets
-@pytest.mark.parametrize("width, group, cuts", [(100, 1000, (8, 5, None)), (100, 8, (4, None)), (100, 1, (8, 5, None)),
-                                                (100, 0, (None,)), (400, 1000, (8, 5, None)), (400, 2, (8, 5, None))])
+@pytest.mark.parametrize("width, group, cuts", [(100, 1000, (4, 7, None)), (100, 8, (4, None)), (100, 1, (8, 5, None)),
+                                                (100, 0, (None,)), (400, 1000, (4, 7, None)), (400, 2, (4, 7, None))])
 def test_repeated_bytes(spark, width, group, cuts, monkeypatch):
     monkeypatch.setattr(suffixdedup, "GROUP", group)
     monkeypatch.setattr(suffixdedup, "CUTS", cuts)
