@@ -83,6 +83,10 @@ def q_matrix_6h(spark, sf):
     return rounded(_pipe(spark, sf).matrix(6))
 
 
+def q_matrix_spans(spark, sf):
+    return rounded(_pipe(spark, sf).spans())
+
+
 def q_sequence_extract(spark, sf):
     return rounded(_pipe(spark, sf).sequences(24))
 
@@ -130,5 +134,6 @@ QUERIES = {
     "matrix_24h": q_matrix_24h,
     "matrix_12h": q_matrix_12h,
     "matrix_6h": q_matrix_6h,
+    "matrix_spans": q_matrix_spans,
     "sequence_extract": q_sequence_extract,
 }

@@ -220,6 +220,15 @@ def q_order_output(spark, sf):
     return o.orderBy("o_orderdate", "o_orderkey")
 
 
+def q_order_proof(spark, sf):
+    """Rows and order of ``order_output`` and ``topk`` as they stand, not as a set."""
+    from ..operators.ordering import ordering
+    orders = ordering(q_order_output(spark, sf), [("o_orderdate", True), ("o_orderkey", True)])
+    top = ordering(q_topk(spark, sf), [("p_retailprice", True), ("p_partkey", False)])
+    return (orders.select(F.lit("order_output").alias("result"), "n_rows", "in_order")
+            .unionByName(top.select(F.lit("topk").alias("result"), "n_rows", "in_order")))
+
+
 def q_head_n(spark, sf):
     o = _t(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
     return rounded(o.orderBy("o_orderkey").limit(10))
@@ -258,6 +267,7 @@ QUERIES = {
     "last_in_hour": q_last_in_hour,
     "having_count": q_having_count,
     "order_output": q_order_output,
+    "order_proof": q_order_proof,
     "head_n": q_head_n,
     "topk": q_topk,
 }

