@@ -48,7 +48,7 @@ from .deepshallow import deep_shallow_order, neighbour_prefixes
 WIDTH = 400
 CHUNK = 1 << 20          # bytes that are hashed at once
 SORTED = 40_000          # contexts that are sorted at once, keys kept whole
-GROUP = 1_000            # contexts of a group that one task sorts; larger groups are cut
+GROUP = 2_000            # contexts of a group that one task sorts; larger groups are cut
 CUTS = (4, 7, None)      # parts of the offsets of a group that is cut, again and again; None: each offset
 SALTS = 16               # tasks that a large group's rows are spread over while they are told apart
 _M = 0x9E3779B97F4A7C15 | 1
