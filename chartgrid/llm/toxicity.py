@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 from .common import keep, map_rows
 
 MAX_LABELLED = 20_000     # expected size of the sample that the model is fitted on
-FEATURES = 16_384         # bound of the driver's table; the significant features are fewer
 GRAMS = (4, 5)            # characters of a feature that is a part of a word
 MIN_DOCS = 4              # labelled documents that a feature must occur in
 MIN_STAT = 12.0           # G2 that a feature must reach
@@ -143,7 +142,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED
     if n > most:
         parts = 1 << 30
         marked = marked.filter(F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(parts)) < int(parts * most / n))
-    return docs.select("doc_id", F.col("text").alias("text")).join(marked, "doc_id").select(
+    # marked has about ``most`` rows at most: the texts need not be shuffled to meet them
+    return docs.select("doc_id", F.col("text").alias("text")).join(F.broadcast(marked), "doc_id").select(
         F.coalesce("text", F.lit("")).alias("text"), "toxic")
 
 
@@ -183,7 +183,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Ordinal
     odds = (F.log((a + 0.5) / (yes - a + 0.5)) - F.log((b + 0.5) / (no - b + 0.5)))
     best = (counts.select("word", (2 * stat).alias("stat"), odds.alias("odds"))
             .filter(F.col("stat") >= MIN_STAT)
-            .orderBy(F.desc("stat"), "word").limit(FEATURES).collect())     # FEATURES rows at most
+            # all significant features: the sample's bound and MIN_DOCS bound their number
+            .orderBy(F.desc("stat"), "word").collect())
     words = {r.word: j for j, r in enumerate(best)}
     markers = {j for j, r in enumerate(best) if r.odds >= MARKER_ODDS}
 
@@ -212,7 +213,9 @@ def grades_of(toxic: np.ndarray, marked: np.ndarray) -> np.ndarray:
 
 def score(docs: DataFrame, model: OrdinalModel, decision: float = DECISION) -> DataFrame:
     """doc_id, severity (expected grade), p_toxic, grade (most probable), toxic.
-    The model is a closure of ``FEATURES`` features at most."""
+    The model is a closure; the bounded sample that it is fitted on bounds its features.
+    Labels tell toxic or not only: grades above 1 were learned from the number of marker
+    words, so severity orders documents by how much marked language they hold."""
     def rows(batches):
         finder = Finder(model.words)
         for b in batches:

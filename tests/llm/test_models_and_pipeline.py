@@ -43,7 +43,6 @@ def test_toxicity_held_out(spark):
 def test_toxicity_of_every_language(spark):
     docs, labels = table(spark, LARGER, "documents"), table(spark, LARGER, "labels")
     model = toxicity.fit(docs, labels.filter("doc_id % 3 > 0"))
-    assert len(model.words) < toxicity.FEATURES
     scored = toxicity.score(docs, model).withColumnRenamed("toxic", "found").join(
         labels.filter("doc_id % 3 = 0"), "doc_id").join(docs.select("doc_id", "lang"), "doc_id").toPandas()
     recall = scored[scored.toxic == 1].groupby("lang").found.mean()      # of all labels, noisy ones too
@@ -53,6 +52,47 @@ def test_toxicity_of_every_language(spark):
     assert scored[scored.toxic == 1].found.mean() > 0.9
 
 
+def test_severity_orders_held_out_rows_by_their_marker_words(spark):
+    docs, labels = table(spark, LARGER, "documents"), table(spark, LARGER, "labels")
+    model = toxicity.fit(docs, labels.filter("doc_id % 3 > 0"))
+    strong = {j for j in range(len(model.weights)) if model.weights[j] > 1}
+    finder = toxicity.Finder(model.words)
+    held = toxicity.score(docs, model).join(labels.filter("doc_id % 3 = 0 and toxic = 1").select("doc_id"), "doc_id").join(
+        docs.select("doc_id", "text"), "doc_id").toPandas()
+    marked = held.text.map(lambda t: sum(not strong.isdisjoint(finder.of(w)) for w in re.findall(r"\w+", (t or "").lower())))
+    rank = held.severity.rank().corr(marked.rank())
+    print("rank correlation", rank, len(held))
+    assert len(held) > 100 and rank > 0.6
+
+
+def test_features_equal_a_plain_recount(spark):
+    rnd = np.random.default_rng(3)
+    plain, bad = ["river", "stone", "green", "table", "seven", "cloud", "bread"], ["grubble", "snarkel"]
+    texts = [" ".join(rnd.choice(plain, 8)) + (" " + " ".join(rnd.choice(bad, 2)) if i % 4 == 0 else "") for i in range(120)]
+    docs = docs_of(spark, texts)
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(120)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    toxic = {t: int(i % 4 == 0) for i, t in enumerate(texts)}
+    yes, n = sum(toxic.values()), len(toxic)
+    want = set()
+    grams = {t: set().union(*(toxicity.features_of(w) for w in t.split())) for t in toxic}
+    for f in set().union(*grams.values()):
+        a = sum(toxic[t] for t in toxic if f in grams[t])
+        of = sum(f in grams[t] for t in toxic)
+        cells = [(a, of * yes / n), (of - a, of * (n - yes) / n), (yes - a, (n - of) * yes / n), (n - yes - of + a, (n - of) * (n - yes) / n)]
+        if of >= toxicity.MIN_DOCS and 2 * sum(o * np.log(o / e) for o, e in cells if o > 0) >= toxicity.MIN_STAT:
+            want.add(f)
+    assert set(model.words) == want and {"grubble", "snarkel"} <= want
+    for row in toxicity.score(docs, model).collect():
+        counts = {}
+        for w in texts[row.doc_id].split():
+            for f in toxicity.features_of(w) & want:
+                counts[f] = counts.get(f, 0) + 1
+        s = sum(model.weights[model.words[f]] * np.log1p(c) for f, c in counts.items())
+        above = 1 / (1 + np.exp(model.thresholds - s))
+        assert abs(row.severity - above.sum()) < 1e-9 and row.toxic == (above[0] >= 0.5) == (row.doc_id % 4 == 0)
+
+
 def test_toxicity_edges(spark):
     docs = docs_of(spark, ODD_TEXTS)
     labels = spark.createDataFrame([(0, 1, 0), (3, 1, None), (None, 1, 1), (999, 1, 1)], "doc_id long, quality int, toxic int")
