@@ -198,10 +198,13 @@ def test_stages_keep_columns_and_odd_rows(spark):
 
 def test_queries_read_whole_tables(spark):
     for name, query in queries.queries().items():
-        source = {"op1": "embeddings", "op5": "pages"}.get(name.split("_")[0], "documents")
-        if name.startswith(("op3", "op4")):
+        source = {"op1": "embeddings", "op5": "pages", "op12": "embeddings"}.get(name.split("_")[0], "documents")
+        if name.startswith(("op3_", "op4_", "op11_")):      # not a row per row; op11: see its brute force
             continue
-        assert query(spark, SF_SMALL).count() == table(spark, SF_SMALL, source).count(), name
+        out = query(spark, SF_SMALL)
+        if name.startswith("op13_"):                        # a row per piece
+            out = out.select("doc_id").distinct()
+        assert out.count() == table(spark, SF_SMALL, source).count(), name
 
 
 def test_sql_agrees(spark):
