@@ -25,9 +25,14 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain
+from math import log1p
 
 import numpy as np
+from ahocorasick import Automaton
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +43,7 @@ GRAMS = (4, 5)            # characters of a feature that is a part of a word
 MIN_DOCS = 4              # labelled documents that a feature must occur in
 MIN_STAT = 12.0           # G2 that a feature must reach
 MEMO_WORDS = 150_000      # words whose features a worker remembers, and features it counts at once
+MEMO_PARTS = 40_000       # words whose parts a worker remembers while it counts features
 GRADES = 5
 RIDGE = 0.05
 MARKER_ODDS = 3.0         # log odds ratio from which a feature is a marker
@@ -53,25 +59,42 @@ def features_of(word: str) -> set[str]:
 
 
 class Finder:
-    """Feature numbers of words and texts, memoised up to a bound."""
+    """Feature numbers of words and texts, memoised up to a bound.  Words that are new
+    are searched together, by one automaton of all features."""
 
     def __init__(self, numbers: dict):
-        self.numbers, self.memo = numbers, {}
+        self.memo: dict[str, tuple] = {}
+        self.found = Automaton()
+        marked: dict[str, list[int]] = {}
+        for feature, j in numbers.items():
+            marked.setdefault(feature[1:] if feature[0] == "~" else f"<{feature}>", []).append(j)
+        for pattern, js in marked.items():
+            self.found.add_word(pattern, tuple(js))
+        self.found.make_automaton()
+
+    def learn(self, words: Iterable[str]) -> None:
+        new = [w for w in set(words) if w not in self.memo]
+        if len(self.memo) + len(new) > MEMO_WORDS:      # a text may hold more words than that by itself
+            self.memo.clear()
+            new = list(set(words))
+        self.memo.update(dict.fromkeys(new, ()))
+        if not len(self.found):
+            return
+        ends = np.cumsum([len(w) + 2 for w in new])
+        held: dict[str, set] = {}
+        for at, js in self.found.iter("".join(f"<{w}>" for w in new)) if new else ():
+            held.setdefault(new[int(np.searchsorted(ends, at, "right"))], set()).update(js)
+        self.memo.update((w, tuple(sorted(js))) for w, js in held.items())
 
     def of(self, word: str) -> tuple:
-        got = self.memo.get(word)
-        if got is None:
-            if len(self.memo) >= MEMO_WORDS:
-                self.memo.clear()
-            got = self.memo[word] = tuple(sorted(self.numbers[f] for f in features_of(word) if f in self.numbers))
-        return got
+        if word not in self.memo:
+            self.learn([word])
+        return self.memo[word]
 
     def __call__(self, text: str) -> Counter:
-        counts: Counter = Counter()
-        for word, n in Counter(_words(text.lower())).items():
-            for j in self.of(word):
-                counts[j] += n
-        return counts
+        words = _words(text.lower())
+        self.learn(words)
+        return Counter(chain.from_iterable(filter(None, map(self.memo.get, words))))
 
 
 class Sparse:
@@ -100,7 +123,7 @@ class OrdinalModel:
         if not self.words:
             return np.zeros(len(self.thresholds))
         counts = (finder or Finder(self.words))(text)
-        s = sum(self.weights[j] * np.log1p(n) for j, n in sorted(counts.items()))
+        s = sum(self.weights[j] * log1p(n) for j, n in sorted(counts.items()))
         return 1 / (1 + np.exp(np.clip(self.thresholds - s, -50, 50)))
 
 
@@ -159,9 +182,10 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Ordinal
 
     def present(batches):
         held, marked = Counter(), Counter()     # sums of a part of the rows
+        parts = lru_cache(MEMO_PARTS)(features_of)
         for b in batches:
             for text, toxic in zip(b["text"].to_pylist(), b["toxic"].to_pylist()):
-                got = set().union(*map(features_of, set(_words(text.lower()))))
+                got = set().union(*map(parts, set(_words(text.lower()))))
                 held.update(got)
                 if toxic:
                     marked.update(got)
