@@ -149,12 +149,11 @@ def _links(near: np.ndarray, f: int, reps: list, n: np.ndarray, filters: list[li
     """Counts of the pairs whose first shared filter is ``f``, and a forest of them."""
     touched = np.flatnonzero(near.any(0) | near.any(1))
     near = near[np.ix_(touched, touched)]
-    before = [[q for q in filters[k] if q < f] for k in touched]
-    places = {q: c for c, q in enumerate(sorted({q for qs in before for q in qs}))}
-    held = np.zeros((len(touched), max(1, len(places))), np.float32)
-    for r, qs in enumerate(before):
-        held[r, [places[q] for q in qs]] = 1
-    near &= held @ held.T == 0
+    # only pairs that are near are looked at: a pair counts at its first shared filter
+    before = [{q for q in filters[k] if q < f} for k in touched]
+    for r, own in enumerate(before):
+        for s in np.flatnonzero(near[r]).tolist():
+            near[r, s] = own.isdisjoint(before[s])
     near |= near.T
     counts = near @ n[touched]
     left = np.ones(len(touched), bool)
