@@ -7,65 +7,87 @@ row of the key and explodes on hot keys -- both sides are unioned and a
 running ``last(..., ignorenulls)`` picks the latest right row at or before
 each left row; a final test on its time applies the tolerance.
 
-Skew: the window is partitioned by ``keys + time bucket`` where the bucket
-width equals the tolerance, and each right row is also copied into the next
-bucket.  A left row in bucket ``b`` can only match right rows of buckets
-``b-1`` and ``b``, both of which are in its partition, so the result is exact
-while one hot key is spread over as many tasks as its time span has buckets.
+Skew: the running last is a scan over ranges of (keys, time)
+(:mod:`chartgrid.operators.scan`), so a key's rows are spread over as many tasks
+as they fill, also where they fall into one short burst.
 Of right rows with equal keys and time the one with the greatest values (in
-the order given) wins.  A NULL key matches nothing, as in a join: such right
-rows are dropped, such left rows are spread over the tasks by their time.
+the order given) wins.  A NULL key or time matches nothing, as in a join: such right
+rows are dropped, such left rows pass through.
+
+Where both sides are one table (``asof_self``) it is read once and each row is emitted
+as a left and as a right row.
 """
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import epoch_micros
+from .scan import last_value_scan
 
-_T, _B, _V, _SIDE = "__asof_t", "__asof_b", "__asof_v", "__asof_side"
+_T, _V, _SIDE, _TIE, _HIT = "__asof_t", "__asof_v", "__asof_side", "__asof_tie", "__asof_hit"
+#: numbers of the sides in the order of one time's rows, by include_current: right rows
+#: come first if the current instant counts, else last
+_LEFT, _RIGHT = {True: 1, False: 0}, {True: 0, False: 1}
 
 
-def asof_lookback(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str,
-                  right_time: str, values: Sequence[str], tolerance_seconds: float,
-                  include_lower: bool = True, include_current: bool = True,
-                  prefix: str = "", match_time_col: str | None = None) -> DataFrame:
-    keys = list(keys)
-    tol = int(round(tolerance_seconds * 1_000_000))
-    if tol <= 0:
-        raise ValueError("tolerance must be positive")
-    lcols = left.columns
-    payload = F.struct(*[F.col(v).alias(v) for v in values],
-                       F.col(_T).alias("__t"),
-                       F.col(right_time).alias("__time"))
+def _known(keys: Sequence[str]) -> Column:
     known = F.lit(True)
     for k in keys:
         known = known & F.col(k).isNotNull()
-    L = (left.withColumn(_T, epoch_micros(left_time))
-             .withColumn(_B, F.when(known, F.floor(F.col(_T) / F.lit(tol))).otherwise(F.xxhash64(_T)))
-             .withColumn(_SIDE, F.lit(0)))
-    R = (right.where(known).select(*keys, right_time, *values)
-              .withColumn(_T, epoch_micros(right_time))
-              .withColumn(_V, payload)
-              .withColumn(_B, F.explode(F.array(F.floor(F.col(_T) / F.lit(tol)),
-                                                F.floor(F.col(_T) / F.lit(tol)) + F.lit(1))))
-              .select(*keys, _T, _B, _V, F.lit(1).alias(_SIDE)))
-    u = L.unionByName(R, allowMissingColumns=True)
-    # Right rows first among equal times, so a same-instant match is visible
-    # to the left row when the current instant is included.
-    order = [F.col(_T), F.col(_SIDE).desc() if include_current else F.col(_SIDE), F.col(_V)]
-    w = Window.partitionBy(*keys, _B).orderBy(*order)
-    w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = F.last(F.col(_V), ignorenulls=True).over(w)
-    u = u.withColumn(_V, last).where(F.col(_SIDE) == 0)
-    lo_ok = (F.col(_V)["__t"] >= F.col(_T) - F.lit(tol)) if include_lower else \
-            (F.col(_V)["__t"] > F.col(_T) - F.lit(tol))
-    cur_ok = F.lit(True) if include_current else (F.col(_V)["__t"] < F.col(_T))
-    hit = known & F.col(_V).isNotNull() & lo_ok & cur_ok
-    out = [F.col(c) for c in lcols]
-    out += [F.when(hit, F.col(_V)[v]).alias(prefix + v) for v in values]
+    return known
+
+
+def _payload(values: Sequence[str], time: str) -> Column:
+    return F.struct(*[F.col(v).alias(v) for v in values], F.col(_T).alias("__t"), F.col(time).alias("__time"))
+
+
+def _attach(both: DataFrame, columns: Sequence[str], keys: Sequence[str], values: Sequence[str], tol: int,
+            include_lower: bool, include_current: bool, prefix: str, match_time_col: str | None) -> DataFrame:
+    """Left rows of ``both`` (rows of the two sides) with the values of their match."""
+    u = last_value_scan(both.withColumn(_TIE, F.xxhash64(*columns)), keys, [_T, _SIDE, _V], _V, _HIT, [_TIE])
+    hit = F.col(_HIT)
+    ok = _known(keys) & hit.isNotNull()
+    ok = ok & (hit["__t"] >= F.col(_T) - F.lit(tol) if include_lower else hit["__t"] > F.col(_T) - F.lit(tol))
+    if not include_current:
+        ok = ok & (hit["__t"] < F.col(_T))
+    out = [F.col(c) for c in columns]
+    out += [F.when(ok, hit[v]).alias(prefix + v) for v in values]
     if match_time_col:
-        out.append(F.when(hit, F.col(_V)["__time"]).alias(match_time_col))
-    return u.select(*out)
+        out.append(F.when(ok, hit["__time"]).alias(match_time_col))
+    return u.where(F.col(_SIDE) == _LEFT[include_current]).select(*out)
+
+
+def _micros(tolerance_seconds: float) -> int:
+    tol = int(round(tolerance_seconds * 1_000_000))
+    if tol <= 0:
+        raise ValueError("tolerance must be positive")
+    return tol
+
+
+def asof_lookback(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str,
+                  right_time: str, values: Sequence[str], tolerance_seconds: float,
+                  include_lower: bool = True, include_current: bool = True,
+                  prefix: str = "", match_time_col: str | None = None) -> DataFrame:
+    keys, tol = list(keys), _micros(tolerance_seconds)
+    L = left.withColumn(_T, epoch_micros(left_time)).withColumn(_SIDE, F.lit(_LEFT[include_current]))
+    R = (right.where(_known(keys) & F.col(right_time).isNotNull()).select(*keys, right_time, *values)
+         .withColumn(_T, epoch_micros(right_time)).withColumn(_V, _payload(values, right_time))
+         .select(*keys, _T, _V, F.lit(_RIGHT[include_current]).alias(_SIDE)))
+    return _attach(L.unionByName(R, allowMissingColumns=True), left.columns, keys, values, tol,
+                   include_lower, include_current, prefix, match_time_col)
+
+
+def asof_self(df: DataFrame, keys: Sequence[str], time: str, values: Sequence[str],
+              tolerance_seconds: float, include_lower: bool = True, include_current: bool = True,
+              prefix: str = "prev_", match_time_col: str | None = None) -> DataFrame:
+    """``asof_lookback`` of a table against itself, reading it once."""
+    keys, tol = list(keys), _micros(tolerance_seconds)
+    usable = _known(keys) & F.col(_T).isNotNull()
+    both = (df.withColumn(_T, epoch_micros(time)).withColumn("__asof_own", _payload(values, time))
+            .withColumn(_SIDE, F.explode(F.when(usable, F.array(F.lit(0), F.lit(1)))
+                                         .otherwise(F.array(F.lit(_LEFT[include_current])))))
+            .withColumn(_V, F.when(F.col(_SIDE) == _RIGHT[include_current], F.col("__asof_own"))).drop("__asof_own"))
+    return _attach(both, df.columns, keys, values, tol, include_lower, include_current, prefix, match_time_col)

@@ -5,7 +5,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 
-from .asof import asof_lookback
+from .asof import asof_self
 
 
 def carry_previous(df: DataFrame, keys: Sequence[str], time_col: str, cols: Sequence[str],
@@ -17,9 +17,8 @@ def carry_previous(df: DataFrame, keys: Sequence[str], time_col: str, cols: Sequ
     The latest strictly-earlier row inside the gap *is* the immediate
     predecessor whenever the predecessor is inside the gap, so this equals
     ``lag`` + a recency test (or a self join on row numbers), but runs as the
-    skew-safe bucketed look-back of :mod:`chartgrid.operators.asof`.
+    scan of :mod:`chartgrid.operators.scan`, with ``df`` read once.
     Rows of one (keys, time) do not carry to each other.
     """
-    return asof_lookback(df, df.select(*keys, time_col, *cols), keys, time_col, time_col,
-                         cols, max_gap_seconds, include_lower=not strict,
-                         include_current=False, prefix=prefix)
+    return asof_self(df, keys, time_col, cols, max_gap_seconds, include_lower=not strict,
+                     include_current=False, prefix=prefix)

@@ -1,12 +1,14 @@
 """Plan-shape and skew checks: pushdown/pruning reach the scan, the look-back
-window is bucketed, a hot key gives exact results, lineage cuts use the
+spreads a burst, a hot key gives exact results, lineage cuts use the
 shared checkpoint folder."""
 import random
 from datetime import datetime as dt, timedelta as td
 
+import pytest
 from pyspark.sql import functions as F
 
-from chartgrid.operators.asof import asof_lookback
+from chartgrid.operators import scan
+from chartgrid.operators.asof import asof_lookback, asof_self
 from chartgrid.operators.rank import best_per_group
 from chartgrid.sources.io import materialise
 from chartgrid.sources.tables import read_table
@@ -26,11 +28,49 @@ def test_filter_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_discount:double>" in plan
 
 
-def test_asof_window_is_bucketed(spark):
-    left = spark.createDataFrame([(1, dt(2024, 1, 1))], "k long, t timestamp_ntz")
-    right = spark.createDataFrame([(1, dt(2024, 1, 1), 1.0)], "k long, t timestamp_ntz, v double")
-    plan = _plan(asof_lookback(left, right, ["k"], "t", "t", ["v"], 3600))
-    assert "__asof_b" in plan and "Window" in plan
+@pytest.fixture
+def many_ranges(spark):
+    """Ranges are not joined up again, as on tables above the advisory size."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_burst_of_one_key_is_spread(spark, many_ranges):
+    # one key, one second: 10^6 rows inside any tolerance
+    burst = spark.range(1_000_000).select(F.lit(1).alias("k"), F.expr(
+        "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, (id % 1000000) / 1000000)").alias("t"), "id")
+    sizes = [r["count"] for r in scan.ranged(burst, ["k", "t"]).groupBy("__range").count().collect()]
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(sizes) < 2 * 1_000_000 / len(sizes)
+    plan = _plan(asof_self(burst.limit(1000), ["k"], "t", ["id"], 3600, include_current=False))
+    # one window over (key, range), one over a row per range; only that row is broadcast
+    assert plan.count("BroadcastHashJoin LeftOuter") >= 1 and "[k#" in plan and "__range#" in plan
+    got = asof_self(burst, ["k"], "t", ["id"], 3600, include_current=False)
+    wrong = got.where(~F.col("prev_id").eqNullSafe(F.when(F.col("id") > 0, F.col("id") - 1)))
+    assert got.count() == 1_000_000 and wrong.count() == 0
+
+
+@pytest.mark.parametrize("current", [True, False])
+def test_scan_over_borders_equals_brute_force(spark, many_ranges, current):
+    rnd = random.Random(11)
+    base = dt(2024, 1, 1)
+    rows = [(rnd.choice([None, 1, 1, 1, 1, 2, 3]), None if rnd.random() < 0.05 else base + td(seconds=rnd.randint(0, 60)),
+             rnd.choice([None, 1.0, 2.0, 3.0]), i) for i in range(600)]
+    df = spark.createDataFrame(rows, "k long, t timestamp_ntz, v double, id long")
+    got = {r["id"]: (r["prev_v"], r["at"]) for r in asof_self(
+        df, ["k"], "t", ["v"], 20, include_lower=False, include_current=current, match_time_col="at").collect()}
+    assert len(got) == len(rows)
+    for k, t, _, i in rows:
+        near = [(rt, rv is not None, rv) for rk, rt, rv, _ in rows if k is not None and rk == k and None not in (t, rt)
+                and t - td(seconds=20) < rt and (rt <= t if current else rt < t)]
+        want = max(near, key=lambda n: (n[0], n[1], n[2] or 0)) if near else (None, None, None)
+        assert got[i] == (want[2], want[0]), (k, t, i)
+    other = asof_lookback(df, df.select("k", "t", "v"), ["k"], "t", "t", ["v"], 20, include_lower=False,
+                          include_current=current, prefix="prev_", match_time_col="at")
+    assert {r["id"]: (r["prev_v"], r["at"]) for r in other.collect()} == got
+    assert asof_self(df.limit(0), ["k"], "t", ["v"], 20).count() == 0
 
 
 def test_hot_key_asof_is_exact(spark):
