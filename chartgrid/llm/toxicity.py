@@ -29,7 +29,6 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
-from math import log1p
 
 import numpy as np
 from ahocorasick import Automaton
@@ -91,10 +90,12 @@ class Finder:
             self.learn([word])
         return self.memo[word]
 
-    def __call__(self, text: str) -> Counter:
+    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Features of a text in ascending order, and how often each occurs."""
         words = _words(text.lower())
         self.learn(words)
-        return Counter(chain.from_iterable(filter(None, map(self.memo.get, words))))
+        return np.unique(np.fromiter(chain.from_iterable(filter(None, map(self.memo.get, words))), np.int64),
+                         return_counts=True)
 
 
 class Sparse:
@@ -122,8 +123,8 @@ class OrdinalModel:
         """P(grade > k) for every threshold; ``finder``: one of ``words``, with its memo."""
         if not self.words:
             return np.zeros(len(self.thresholds))
-        counts = (finder or Finder(self.words))(text)
-        s = sum(self.weights[j] * log1p(n) for j, n in sorted(counts.items()))
+        j, n = (finder or Finder(self.words))(text)
+        s = float(np.sum(self.weights[j] * np.log1p(n)))
         return 1 / (1 + np.exp(np.clip(self.thresholds - s, -50, 50)))
 
 
@@ -216,9 +217,9 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Ordinal
         finder = Finder(words)
         for b in batches:
             for text, toxic in zip(b["text"].to_pylist(), b["toxic"].to_pylist()):
-                got = finder(text)
+                j, n = finder(text)
                 marked = sum(not markers.isdisjoint(finder.of(w)) for w in _words(text.lower()))
-                yield toxic, marked, list(got), list(got.values())
+                yield toxic, marked, j.tolist(), n.tolist()
 
     got = map_rows(sample, "toxic int, marked bigint, j array<int>, n array<int>", features).toArrow()
     j, n = (got[c].combine_chunks() for c in ("j", "n"))
