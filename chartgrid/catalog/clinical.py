@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..plans import concepts as K
 from ..plans.assemble import IcuPipeline
 from ..plans.bloodgas import bg_panel
+from ..plans.vitals import lab_codes, labs_in_stay
 from ..sources.fixtures import icu_sources
 from .common import rounded
 
@@ -55,6 +56,11 @@ def q_labs_hourly(spark, sf):
     return rounded(_pipe(spark, sf).labs)
 
 
+def q_labs_in_stay(spark, sf):
+    p = _pipe(spark, sf)
+    return rounded(labs_in_stay(p.src.labs(lab_codes()), p.kept))
+
+
 def q_panel_pivot(spark, sf):
     return rounded(bg_panel(icu_sources(spark, sf).labevents))
 
@@ -127,6 +133,7 @@ QUERIES = {
     "gcs": q_gcs,
     "urine_output": q_urine_output,
     "labs_hourly": q_labs_hourly,
+    "labs_in_stay": q_labs_in_stay,
     "panel_pivot": q_panel_pivot,
     "art_bg": q_art_bg,
     "hourly_wide": q_hourly_wide,

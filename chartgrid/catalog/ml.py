@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..ml import trees
+from ..ml.recurrent import fit_recurrent, score_recurrent
 from ..ml.sequence_model import fit_sequence_classifier, score_windows
 from ..plans.assemble import IcuPipeline
 from ..sources.fixtures import icu_sources
@@ -57,6 +58,12 @@ def q_sequence_classifier(spark, sf):
     return score_windows(model, w.where("split = 'test'"), keys)
 
 
+def q_sequence_recurrent(spark, sf):
+    b = PREP.split_blocks(PREP.split(PREP.imputed(series(spark, sf))))
+    model = fit_recurrent(b.where("split = 'train'"), len(PREP.features), PREP.length, PREP.block)
+    return score_recurrent(model, b.where("split = 'test'"), ["user_id", "copy"])
+
+
 QUERIES = {
     "ml_features": q_ml_features,
     "rf_fit": q_rf_fit,
@@ -64,4 +71,5 @@ QUERIES = {
     "cv_tune": q_cv_tune,
     "feature_importance": q_feature_importance,
     "sequence_classifier": q_sequence_classifier,
+    "sequence_recurrent": q_sequence_recurrent,
 }

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from ..operators.quality import missing_fraction, null_profile
 from ..operators.sample import hash_split, stratified_folds
-from ..operators.sequence import windows_long
+from ..operators.sequence import windows_long, windows_of_blocks
 from ..plans.sequences import DAILY_FEATURES, SequencePrep, daily_series
 from ..sources.tables import read_table
 from .common import rounded
@@ -59,6 +59,12 @@ def q_sequence_windows(spark, sf):
     return rounded(windows_long(w, ["user_id", "copy", "split"], list(DAILY_FEATURES)))
 
 
+def q_window_blocks(spark, sf):
+    keys = ["user_id", "copy", "split"]
+    b = PREP.split_blocks(PREP.split(PREP.imputed(series(spark, sf))))
+    return rounded(windows_long(windows_of_blocks(b, keys, PREP.length, PREP.block), keys, list(DAILY_FEATURES)))
+
+
 QUERIES = {
     "null_profile": q_null_profile,
     "missing_fraction": q_missing_fraction,
@@ -70,4 +76,5 @@ QUERIES = {
     "stratified_folds": q_stratified_folds,
     "oversample": q_oversample,
     "sequence_windows": q_sequence_windows,
+    "window_blocks": q_window_blocks,
 }

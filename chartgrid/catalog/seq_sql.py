@@ -77,4 +77,6 @@ def oracles() -> dict[str, str]:
   CAST('0x' || left(md5('0:' || doc_id), 8) AS BIGINT), doc_id) - 1) % 5 AS INTEGER) AS fold FROM labels""",
         "oversample": _q("SELECT * FROM over", F6),
         "sequence_windows": _q("SELECT * FROM win", F6),
+        # labels of blocks are doubles
+        "window_blocks": _q("SELECT * REPLACE (CAST(label AS DOUBLE) AS label) FROM win", F6),
     }

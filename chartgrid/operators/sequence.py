@@ -56,6 +56,41 @@ def sliding_windows_skew_safe(df: DataFrame, entity: str | Sequence[str], order:
              .select(*keys, F.col(order).alias("start"), "seq", F.col("__y").alias("label")))
 
 
+def window_blocks(df: DataFrame, entity: str | Sequence[str], order: str, features: Sequence[str],
+                  label: str, length: int, block: int = 480) -> DataFrame:
+    """The same windows without their copies: one row per ``block`` positions of an
+    entity, followed by the ``length`` rows after it, so each row is stored
+    ``1 + length / block`` times at most (and not once per window that holds it).
+
+    Columns: entity, ``block_id`` (hash of entity and block), ``starts`` (order
+    values), ``rows`` (array of arrays of features, as double) and ``labels`` (as
+    double).  Window ``i < block`` of a block is ``rows[i, i + length)`` with the
+    label of row ``i + length``.  Written under the shared checkpoint folder.
+    """
+    from ..sources.io import materialise
+    from .positions import positions
+    keys = _keys(entity)
+    p = positions(df.select(*keys, order, label, *features), keys, order, name="__p")
+    blk = F.floor(F.col("__p") / F.lit(block))
+    owners = F.when((F.col("__p") % F.lit(block) < F.lit(length)) & (blk > 0),
+                    F.array(blk, blk - 1)).otherwise(F.array(blk))
+    row = F.struct(F.col("__p"), F.col(order).alias("start"),
+                   F.array(*[F.col(f).cast("double") for f in features]).alias("row"),
+                   F.col(label).cast("double").alias("label"))
+    held = (p.select(*keys, F.explode(owners).alias("__blk"), row.alias("r")).groupBy(*keys, "__blk")
+            .agg(F.sort_array(F.collect_list("r")).alias("r")))       # block + length rows at most
+    return materialise(held.select(*keys, F.xxhash64(*keys, "__blk").alias("block_id"), F.col("r.start").alias("starts"),
+                                   F.col("r.row").alias("rows"), F.col("r.label").alias("labels")), "window-blocks")
+
+
+def windows_of_blocks(blocks: DataFrame, entity: str | Sequence[str], length: int, block: int = 480) -> DataFrame:
+    """The output of :func:`sliding_windows` from what :func:`window_blocks` wrote."""
+    n = F.least(F.lit(block), F.size("rows") - F.lit(length))
+    w = blocks.where(n > 0).select(*_keys(entity), "starts", "rows", "labels", F.explode(F.sequence(F.lit(0), n - 1)).alias("i"))
+    return w.select(*_keys(entity), F.get("starts", "i").alias("start"), F.slice("rows", F.col("i") + 1, length).alias("seq"),
+                    F.get("labels", F.col("i") + length).alias("label")).where(F.col("label").isNotNull())
+
+
 def windows_long(windows: DataFrame, entity: str | Sequence[str], features: Sequence[str]) -> DataFrame:
     """Unnest windows to one row per (entity, start, step) with feature columns."""
     keys = _keys(entity)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..operators.grid import hour_grid
 from ..operators.quality import complete_entities, complete_exact_entities
 from ..operators.sample import hash_split, median_impute, oversample
-from ..operators.sequence import sliding_windows_skew_safe
+from ..operators.sequence import sliding_windows_skew_safe, window_blocks
 
 DAILY_FEATURES = ("avg_value", "min_value", "max_value", "sum_value", "n_events", "n_types")
 
@@ -60,6 +60,7 @@ class SequencePrep:
     seed: int = 0
     copies: int = 6
     median_fit_on: str = "all"      # "all" (as published: before the split) or "train"
+    block: int = 480                # positions of an entity that one stored block holds
 
     def complete(self, df: DataFrame) -> DataFrame:
         return complete_entities(df, self.entity, list(self.features), self.threshold)
@@ -88,9 +89,17 @@ class SequencePrep:
         return sliding_windows_skew_safe(df, [self.entity, *keys], self.order, list(self.features),
                                          self.label, self.length)
 
-    def split_windows(self, split_df: DataFrame) -> DataFrame:
-        """Windows of the oversampled training side and of the test side, keyed by
-        (entity, copy, split)."""
+    def sides(self, split_df: DataFrame) -> DataFrame:
+        """The oversampled training side and the test side, keyed by (entity, copy, split)."""
         train = self.train_oversampled(split_df).withColumn("split", F.lit("train"))
         test = split_df.where(F.col("split") == "test").withColumn("copy", F.lit(0))
-        return self.windows(train.unionByName(test), ("copy", "split"))
+        return train.unionByName(test)
+
+    def split_windows(self, split_df: DataFrame) -> DataFrame:
+        """Windows of both sides."""
+        return self.windows(self.sides(split_df), ("copy", "split"))
+
+    def split_blocks(self, split_df: DataFrame) -> DataFrame:
+        """The same windows as blocks, stored without their copies."""
+        return window_blocks(self.sides(split_df), [self.entity, "copy", "split"], self.order,
+                             list(self.features), self.label, self.length, self.block)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import ne_3vl
 from ..functions.time import hour_diff
+from ..operators.intervals import assign_intervals
 from ..operators.pivot import Concept, pivot_agg
 from . import concepts as K
 
@@ -61,6 +62,17 @@ def labs_hourly(labevents: DataFrame, kept: DataFrame, per_stay: bool = False) -
     return pivot_agg(le, ["icustay_id" if per_stay else "hadm_id", "hr"], lab_concepts())
 
 
+def labs_in_stay(labevents: DataFrame, kept: DataFrame) -> DataFrame:
+    """(icustay_id, hr) -> 19 lab averages of the rows inside the stay's own
+    [intime, outtime): an admission's row goes to the stays that hold its time,
+    without pairing every row of it with every stay of it."""
+    rows = (labevents.where(F.col("itemid").isin(*lab_codes()) & (F.col("valuenum") > 0))
+            .select("hadm_id", "charttime", "itemid", "valuenum"))
+    held = assign_intervals(rows, kept.select("hadm_id", "icustay_id", "intime", "outtime"), ["hadm_id"],
+                            "charttime", "intime", "outtime")
+    return pivot_agg(held.withColumn("hr", hour_diff("charttime", "intime")), ["icustay_id", "hr"], lab_concepts())
+
+
 def plausibility_clip(labevents: DataFrame) -> DataFrame:
     """Row-level view of the lab limits: concept label and clipped value."""
     le = labevents.where(F.col("itemid").isin(*lab_codes()) & F.col("valuenum").isNotNull()
