@@ -58,6 +58,15 @@ def q_csv_roundtrip(spark, sf):
     return read_csv(spark, path, schema=schema)
 
 
+def q_csv_inferred(spark, sf):
+    """The admissions as a CSV table whose types are inferred from all of its rows."""
+    adm = icu_sources(spark, sf).admissions.select("hadm_id", "admittime", "admission_type", "hospital_expire_flag")
+    path = write_csv(adm, scratch_path(spark, "csv_inferred"))
+    back = read_csv(spark, path, infer_schema=True)
+    kinds = dict(back.dtypes)
+    return back.select("*", *[F.lit(kinds[c]).alias(f"{c}_type") for c in adm.columns])
+
+
 def q_filter_in_list(spark, sf):
     ce = icu_sources(spark, sf).chartevents
     return rounded(ce.where(F.col("itemid").isin(*K.VITAL_CODES))
@@ -244,6 +253,7 @@ QUERIES = {
     "scan_project": q_scan_project,
     "io_roundtrip": q_io_roundtrip,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_inferred": q_csv_inferred,
     "filter_in_list": q_filter_in_list,
     "filter_range": q_filter_range,
     "filter_three_valued": q_filter_three_valued,

@@ -42,6 +42,9 @@ def oracles() -> dict[str, str]:
                                 ["o_totalprice"]),
         "csv_roundtrip": with_views("SELECT hadm_id, ethnicity, admission_type, hospital_expire_flag FROM admissions",
                                     ("admissions",)),
+        "csv_inferred": with_views("""SELECT hadm_id::INT AS hadm_id, admittime, admission_type,
+  hospital_expire_flag::INT AS hospital_expire_flag, 'int' AS hadm_id_type, 'timestamp' AS admittime_type,
+  'string' AS admission_type_type, 'int' AS hospital_expire_flag_type FROM admissions""", ("admissions",)),
         "filter_in_list": rounded(with_views(
             f"SELECT icustay_id, charttime, itemid, valuenum FROM chartevents WHERE itemid IN {in_list(sorted({c for r in V.VITAL_RULES for c in r[1]}))}",
             ("chartevents",)), ["valuenum"]),
