@@ -8,9 +8,9 @@ admission and one patient per customer).  The same definitions, as portable
 SQL, are in :mod:`chartgrid.sources.fixture_sql` for the DuckDB oracle.
 
 The event-attribute-value tables fan every event out to a fixed list of item
-codes with ``explode`` of a literal array (a per-row generator,
-no join) and a plain filter, so the work stays a narrow, codegen-friendly
-scan of ``events``.
+codes (``operators.fanout``: a cross join with the literal list, so Spark knows
+that the rows multiply) and a plain filter, so the work stays a narrow,
+codegen-friendly scan of ``events``.
 """
 from __future__ import annotations
 
@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.fanout import fan_out
 from .tables import read_table
 
 # Fixed values of the test fixture (FIXTURES.md §2): item code, low, high of
@@ -67,11 +68,12 @@ def _stay_id(user: Column, ts: Column) -> Column:
     return user * F.lit(10) + _block(ts)
 
 
-def _item_array(items) -> Column:
-    """A literal array of (itemid, lo, hi, variant), as one expression text."""
-    return F.expr("array(" + ", ".join(
-        f"named_struct('itemid', {i}, 'lo', {float(lo)}D, 'hi', {float(hi)}D, 'variant', {variant[0] if variant else 0})"
-        for i, lo, hi, *variant in items) + ")")
+def _each_item(events: DataFrame, items) -> DataFrame:
+    """Every event with every item, in the struct column ``i`` (itemid, lo, hi, variant)."""
+    names = ("itemid", "lo", "hi", "variant")
+    rows = [[str(i), f"{float(lo)}D", f"{float(hi)}D", str(variant[0] if variant else 0)] for i, lo, hi, *variant in items]
+    return fan_out(events, [f"__{n}" for n in names], rows).select(
+        *events.columns, F.struct(*[F.col(f"__{n}").alias(n) for n in names]).alias("i"))
 
 
 def _of(items, codes):
@@ -136,8 +138,8 @@ def patients(customer: DataFrame) -> DataFrame:
 def chartevents(events: DataFrame, codes=None) -> DataFrame:
     e = events.select("event_id", "user_id", "ts")
     eid = F.col("event_id")
-    # explode the fixed item list, then a plain (codegen) filter
-    x = (e.select("event_id", "user_id", "ts", F.explode(_item_array(_of(CHART_ITEMS, codes))).alias("i"))
+    # fan out to the fixed item list, then a plain (codegen) filter
+    x = (_each_item(e, _of(CHART_ITEMS, codes))
           .where((eid * F.lit(31) + F.col("i")["itemid"]) % F.lit(3) == 0))
     i = F.col("i")
     return x.select(
@@ -156,8 +158,7 @@ def chartevents(events: DataFrame, codes=None) -> DataFrame:
 def labevents(events: DataFrame, codes=None) -> DataFrame:
     e = events.select("event_id", "user_id", "ts").where(F.col("event_id") % 2 == 0)
     eid = F.col("event_id")
-    x = (e.select("event_id", "user_id", "ts",
-                  F.explode(_item_array(_of(LAB_ITEMS, codes))).alias("i"))
+    x = (_each_item(e, _of(LAB_ITEMS, codes))
           .where((F.col("i")["variant"] == 0) | (eid % 20 == 0)))
     i = F.col("i")
     return x.select(
