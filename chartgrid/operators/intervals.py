@@ -21,6 +21,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .fanout import fan_out
+
 LEVELS = 12
 BASE = 3600       # seconds of a bucket at level 0: 12 levels reach 478 years
 
@@ -43,8 +45,7 @@ def assign_intervals(events: DataFrame, intervals: DataFrame, keys: Sequence[str
     placed = (intervals.where(F.col(start) < F.col(end)).withColumn("__level", level)
               .withColumn("__bucket", F.explode(F.sequence(bucket(micros(start)), bucket(micros(end) - 1)))))
     used = [r[0] for r in placed.select("__level").distinct().collect()]       # LEVELS rows at most
-    seen = (events.where(F.col(at).isNotNull())
-            .withColumn("__level", F.explode(F.array(*[F.lit(k) for k in sorted(used)]).cast("array<int>")))
+    seen = (fan_out(events.where(F.col(at).isNotNull()), ["__level"], [[str(k)] for k in sorted(used)])
             .withColumn("__bucket", bucket(micros(at))))
     rest = [c for c in intervals.columns if c not in keys]
     return seen.join(placed, [*keys, "__level", "__bucket"]).where(

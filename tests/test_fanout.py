@@ -1,8 +1,11 @@
 """Rows that a reader or an operator multiplies count in Spark's size estimates, so
 the multiplied side is not broadcast through the driver."""
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from chartgrid.operators.fanout import fan_out
+from chartgrid.operators.intervals import assign_intervals
 from chartgrid.plans import concepts as K
 from chartgrid.plans.vitals import lab_codes
 from chartgrid.sources.fixtures import (DerivedSources, admissions, chartevents, icustays, labevents, outputevents,
@@ -28,6 +31,21 @@ def test_estimates_of_the_event_views_hold_their_rows(spark):
         assert _estimate(df) >= df.count() * 8 * len(df.columns)
 
 
+def test_events_of_many_levels_are_estimated_with_their_copies(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    hour = dt.timedelta(hours=1)
+    events = spark.range(1000).select((F.col("id") % 5).alias("k"), F.lit(t0).cast("timestamp_ntz").alias("at"))
+    spans = [(k, t0, t0 + (4 ** k) * hour) for k in range(5)]
+    intervals = spark.createDataFrame(spans, "k long, start timestamp_ntz, end timestamp_ntz")
+    out = assign_intervals(events, intervals, ["k"], "at", "start", "end")
+    assert out.count() == 1000
+    join = out._jdf.queryExecution().optimizedPlan()
+    while join.children().size() == 1:
+        join = join.children().head()
+    copies = 5 * 1000 * 8 * 3                # 5 levels in use, a row of three columns at least
+    assert int(str(join.left().stats().sizeInBytes())) >= copies
+
+
 def test_fan_out_keeps_repeats_and_nulls_and_takes_an_empty_list(spark):
     df = spark.createDataFrame([(1,), (1,), (None,)], "a int")
     got = fan_out(df, ["b"], [["7"], ["8"]]).collect()
