@@ -8,14 +8,22 @@ column, so Spark plans one partial (map-side) + one final hash aggregate and
 a single shuffle on the group keys, however many columns are produced.
 Unlike ``groupBy().pivot()`` the output schema is fixed and each column has
 its own rule.
+
+The greatest or least of a text has no place in a hash aggregate: one such column
+among others makes Spark sort all rows of all codes by the keys.  Where both kinds
+occur the texts are aggregated by themselves, over the rows of their codes only, and
+joined to the wide row (NULL keys match, they are groups like any other).
 """
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -80,8 +88,19 @@ def all_codes(concepts: Sequence[Concept]) -> list:
 def pivot_agg(df: DataFrame, keys: Sequence[str], concepts: Sequence[Concept],
               code_col: str = "itemid", extra_aggs: Sequence[Column] = ()) -> DataFrame:
     """``groupBy(keys)`` with one conditional aggregate per concept."""
-    aggs = [F.expr(f"{c.agg}({concept_sql(c, code_col)}) AS {c.name}") for c in concepts]
-    return df.groupBy(*keys).agg(*aggs, *extra_aggs)
+    keys = list(keys)
+    aggs = {c.name: F.expr(f"{c.agg}({concept_sql(c, code_col)}) AS {c.name}") for c in concepts}
+    texts = [c for c in concepts if c.agg in ("max", "min") and isinstance(df.schema[c.value_col].dataType, T.StringType)]
+    if not texts or len(texts) == len(concepts):
+        return df.groupBy(*keys).agg(*aggs.values(), *extra_aggs)
+    apart = {c.name for c in texts}
+    wide = df.groupBy(*keys).agg(*[a for n, a in aggs.items() if n not in apart], *extra_aggs)
+    some = reduce(or_, [F.col(c.value_col).isNotNull() for c in texts])
+    text = (df.where(F.col(code_col).isin(*all_codes(texts)) & some).groupBy(*keys)
+            .agg(*[aggs[c.name] for c in texts]).withColumnsRenamed({k: f"__k_{k}" for k in keys}))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+    return wide.join(text, same, "left").select(
+        *keys, *aggs, *[c for c in wide.columns if c not in aggs and c not in keys])
 
 
 def count_code(code, code_col: str = "itemid", value_col: str = "value") -> Column:

@@ -9,6 +9,7 @@ from ..functions.time import hour_diff
 from ..operators.asof import asof_lookback
 from ..operators.pivot import Concept, count_code, pivot_agg
 from ..operators.rank import best_per_group, last_per_group
+from ..sources.io import materialise
 from . import concepts as K
 
 
@@ -80,7 +81,8 @@ ART_COLUMNS = ("specimen", "specimen_pred", "specimen_prob", "so2", "spo2", "po2
 
 
 def _of_kept(events: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows of admissions with a kept stay (before anything is aggregated)."""
+    """Rows of admissions with a kept stay (charted rows before they are aggregated, gases
+    after: a panel's thirty rows are one row before anything is shuffled)."""
     return events.join(kept.select("hadm_id"), "hadm_id", "left_semi")
 
 
@@ -89,14 +91,16 @@ def gas_with_context(labevents: DataFrame, chartevents: DataFrame, kept: DataFra
     of the admission's lowest kept stay, with the latest charted SpO2 of the
     previous 2 h and the latest positive charted FiO2 of the previous 4 h."""
     chartevents = _of_kept(chartevents, kept)
-    bg = bg_panel(_of_kept(labevents, kept)).where(F.col("po2").isNotNull())
+    bg = _of_kept(bg_panel(labevents).where(F.col("po2").isNotNull()), kept)
     bg = (bg.join(first_kept_stay(kept), "hadm_id")
             .withColumn("hr", hour_diff("charttime", "intime")).drop("intime", "icustay_id"))
     return _attach_charted(bg, chartevents)
 
 
 def _attach_charted(bg: DataFrame, chartevents: DataFrame) -> DataFrame:
-    """Latest charted SpO2 (2 h) and latest positive charted FiO2 (4 h)."""
+    """Latest charted SpO2 (2 h) and latest positive charted FiO2 (4 h).  The gases are
+    written first: cutting a look-back into ranges reads its input twice."""
+    bg = materialise(bg, "gas")
     bg = asof_lookback(bg, spo2_charted(chartevents), ["hadm_id"], "charttime", "charttime",
                        ["spo2"], K.SPO2_LOOKBACK_HOURS * 3600)
     fio2 = fio2_charted(chartevents).where(F.col("fio2_chartevents") > 0)
@@ -118,7 +122,7 @@ def art_bg(labevents: DataFrame, chartevents: DataFrame, kept: DataFrame) -> Dat
     # before the look-backs: identical result, and the as-of joins only see
     # the gases that are kept.
     chartevents = _of_kept(chartevents, kept)
-    bg = bg_panel(_of_kept(labevents, kept)).where(F.col("po2").isNotNull())
+    bg = _of_kept(bg_panel(labevents).where(F.col("po2").isNotNull()), kept)
     bg = (bg.join(first_kept_stay(kept), "hadm_id")
             .withColumn("hr", hour_diff("charttime", "intime")).drop("intime", "icustay_id"))
     bg = _attach_charted(last_per_group(bg, ["hadm_id", "hr"], "charttime"), chartevents)
