@@ -9,7 +9,8 @@ that reads it.
 Training is synchronous.  Each step is one Spark job: every partition runs
 backpropagation through time over its windows and returns one gradient sum, the
 sums are added in ``FAN`` tasks, and the driver adds those ``FAN`` vectors and
-makes one Adam step on the mean gradient of all windows.  What travels is one
+makes one Adam step on the mean gradient of all windows.  Windows of many blocks are
+gathered into runs of ``CHUNK`` before the layer sees them.  What travels is one
 vector of the model's size per partition, whatever the number of rows; a step is
 a function of the parameters and the written blocks, so lost tasks are rerun.
 The result does not depend on the partitions beyond the rounding of sums.
@@ -132,10 +133,28 @@ def _windows(rows: np.ndarray, labels: np.ndarray, length: int, block: int, mean
 
 def _blocks(batch: pa.RecordBatch, n_features: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Index, rows (n, features) and labels of every block of a batch; missing: NaN."""
-    rows, labels = batch.column("rows"), batch.column("labels")
-    for i in range(batch.num_rows):
-        flat = rows[i].values.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        yield i, flat.reshape(-1, n_features), labels[i].values.to_numpy(zero_copy_only=False).astype(np.float64)
+    column = lambda c: c.to_numpy(zero_copy_only=False).astype(np.float64)
+    rows, labels = batch.column("rows"), column(batch.column("labels").flatten())
+    flat = column(rows.flatten().flatten()).reshape(-1, n_features)
+    ends = np.cumsum([0, *rows.value_lengths().fill_null(0).to_pylist()])
+    for i, (lo, hi) in enumerate(zip(ends[:-1], ends[1:])):
+        yield i, flat[lo:hi], labels[lo:hi]
+
+
+def _gathered(pieces: Iterable[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Pieces (arrays of one length each) of many blocks joined into runs of ``CHUNK``
+    windows: a block may hold one window only, and a step of the layer costs as many
+    calls for one as for a thousand."""
+    held, n = [], 0
+    for piece in pieces:
+        for lo in range(0, len(piece[0]), CHUNK):
+            held.append([a[lo:lo + CHUNK] for a in piece])
+            n += len(held[-1][0])
+            if n >= CHUNK:
+                yield tuple(map(np.concatenate, zip(*held)))
+                held, n = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
 
 
 def _summed(blocks: DataFrame, flat: np.ndarray, model: RecurrentModel, dropout: float, step: int,
@@ -147,18 +166,22 @@ def _summed(blocks: DataFrame, flat: np.ndarray, model: RecurrentModel, dropout:
     def one(n: int, loss: float, grad: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([n]), pa.array([loss]), pa.array([grad], out[2].type)], schema=out)
 
-    def part(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, loss, grad = 0, 0.0, np.zeros(size)
+    def windows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         for batch in batches:
             ids = batch.column("block_id").to_pylist()
             for i, rows, labels in _blocks(batch, n_features):
                 _, x, y = _windows(rows, labels, model.length, model.block, model.mean, model.scale)
-                rng = np.random.default_rng([seed, step, ids[i] & 0xFFFFFFFF, (ids[i] >> 32) & 0xFFFFFFFF])
-                for lo in range(0, len(y), CHUNK):
-                    xs, ys = x[lo:lo + CHUNK], y[lo:lo + CHUNK]
-                    mask = None if not dropout else (rng.random((len(ys), model.hidden)) >= dropout) / (1 - dropout)
-                    more, g = gradient(xs, ys, flat, model.hidden, mask)
-                    n, loss, grad = n + len(ys), loss + more, grad + g
+                if not dropout:
+                    yield x, y
+                elif len(y):
+                    rng = np.random.default_rng([seed, step, ids[i] & 0xFFFFFFFF, (ids[i] >> 32) & 0xFFFFFFFF])
+                    yield x, y, (rng.random((len(y), model.hidden)) >= dropout) / (1 - dropout)
+
+    def part(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, loss, grad = 0, 0.0, np.zeros(size)
+        for xs, ys, *mask in _gathered(windows(batches)):
+            more, g = gradient(xs, ys, flat, model.hidden, *mask)
+            n, loss, grad = n + len(ys), loss + more, grad + g
         if n:
             yield one(n, loss, grad)
 
@@ -208,19 +231,22 @@ def score_recurrent(model: RecurrentModel, blocks: DataFrame, entity: str | Sequ
     schema = T.StructType([*(blocks.schema[k] for k in keys), T.StructField("start", start),
                            *(T.StructField(c, T.DoubleType()) for c in ("label", "prediction", "p1"))])
 
+    def windows(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        for i, rows, labels in _blocks(batch, len(model.mean)):
+            yield i, *_windows(rows, labels, model.length, model.block, model.mean, model.scale)
+
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = unpack(model.weights, len(model.mean), model.hidden)
         for batch in batches:
-            for i, rows, labels in _blocks(batch, len(model.mean)):
-                at, x, y = _windows(rows, labels, model.length, model.block, model.mean, model.scale)
-                starts = batch.column("starts")[i].values
-                for lo in range(0, len(y), CHUNK):
-                    h, _ = _states(x[lo:lo + CHUNK], p)
-                    p1 = _sigmoid(h @ p["out"] + p["bias"][0])
-                    same = pa.array(np.full(len(p1), i))
-                    yield pa.RecordBatch.from_arrays(
-                        [*(batch.column(k).take(same) for k in keys), starts.take(pa.array(at[lo:lo + CHUNK])),
-                         pa.array(y[lo:lo + CHUNK]), pa.array((p1 > 0.5).astype(np.float64)), pa.array(p1)],
-                        names=[f.name for f in schema.fields])
+            starts = batch.column("starts").flatten()
+            ends = np.cumsum([0, *batch.column("starts").value_lengths().fill_null(0).to_pylist()])
+            found = ((np.full(len(at), i), ends[i] + at, x, y) for i, at, x, y in windows(batch))
+            for block, at, xs, ys in _gathered(found):
+                h, _ = _states(xs, p)
+                p1 = _sigmoid(h @ p["out"] + p["bias"][0])
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(k).take(pa.array(block)) for k in keys), starts.take(pa.array(at)),
+                     pa.array(ys), pa.array((p1 > 0.5).astype(np.float64)), pa.array(p1)],
+                    names=[f.name for f in schema.fields])
 
     return blocks.mapInArrow(score, schema)
