@@ -10,6 +10,7 @@ from chartgrid.plans import concepts as K
 from chartgrid.plans.vitals import lab_codes
 from chartgrid.sources.fixtures import (DerivedSources, admissions, chartevents, icustays, labevents, outputevents,
                                         patients)
+from chartgrid.sources.tables import read_table
 
 
 def _estimate(df) -> int:
@@ -51,3 +52,19 @@ def test_fan_out_keeps_repeats_and_nulls_and_takes_an_empty_list(spark):
     got = fan_out(df, ["b"], [["7"], ["8"]]).collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, [(1, 7), (1, 8)] * 2 + [(None, 7), (None, 8)]))
     assert fan_out(df, ["b"], []).count() == 0
+
+
+def test_scans_are_estimated_by_rows_not_by_compressed_files(spark, tmp_path):
+    rows = 50_000
+    (spark.range(rows).select(F.col("id").alias("c_custkey"), F.lit("BUILDING").alias("c_mktsegment"))
+     .coalesce(1).write.parquet(str(tmp_path / "customer.parquet")))
+    cu = read_table(spark, str(tmp_path), "customer", ["c_custkey", "c_mktsegment"])
+    assert _estimate(cu.select("c_custkey")) >= rows * 8
+    limit, name = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), "spark.sql.autoBroadcastJoinThreshold"
+    try:
+        spark.conf.set(name, rows * 8)
+        joined = admissions(cu).select("hadm_id").join(patients(cu).select(F.col("subject_id").alias("hadm_id")), "hadm_id")
+        assert "Broadcast" not in joined._jdf.queryExecution().sparkPlan().toString()
+        assert joined.count() == rows
+    finally:
+        spark.conf.set(name, limit)
