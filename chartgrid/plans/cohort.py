@@ -17,10 +17,11 @@ from . import concepts as K
 
 def rows_in_stay_window(src: IcuSources, codes=K.HEART_RATE_CODES) -> DataFrame:
     """Chart rows of ``codes`` inside (intime - 12h, outtime - 12h) of their
-    stay: an equi-join on the stay with a time-range residual (J3).  The stay
-    side is one row per stay; AQE broadcasts it when it is small."""
+    stay: an equi-join on the stay with a time-range residual (J3).  Both sides
+    grow with the data, so they meet by a merge and nothing goes through the
+    driver; the stay bounds are grouped by the same key."""
     rows = src.chart(codes).select("icustay_id", "charttime", "itemid")
-    stays = src.icustays.select("icustay_id", "intime", "outtime")
+    stays = src.icustays.select("icustay_id", "intime", "outtime").hint("merge")
     return rows.join(stays, "icustay_id").where(
         (F.col("charttime") > add_hours("intime", -K.STAY_WINDOW_HOURS))
         & (F.col("charttime") < add_hours("outtime", -K.STAY_WINDOW_HOURS))
@@ -38,7 +39,7 @@ def stay_bounds(src: IcuSources) -> DataFrame:
 def stay_numbers(src: IcuSources, bounds: DataFrame) -> DataFrame:
     """Ordinal of each stay within its subject by rounded start (NULL start
     first; stays without heart-rate rows still take a number)."""
-    icu = src.icustays.select("subject_id", "icustay_id").join(bounds, "icustay_id", "left")
+    icu = src.icustays.select("subject_id", "icustay_id").join(bounds.hint("merge"), "icustay_id", "left")
     icu = ordinal(icu, ["subject_id"],
                   [F.col("intime_hr").asc_nulls_first(), F.col("icustay_id")], "icustay_num")
     return icu.where(F.col("intime_hr").isNotNull())
@@ -46,7 +47,8 @@ def stay_numbers(src: IcuSources, bounds: DataFrame) -> DataFrame:
 
 def cohort(src: IcuSources, bounds: DataFrame | None = None) -> DataFrame:
     """One row per stay with heart-rate data: demographics, outcomes and the
-    exclusion flags (``excluded`` = any rule fires)."""
+    exclusion flags (``excluded`` = any rule fires).  Admissions, patients and
+    stays grow with the data: they are merged, never broadcast by an estimate."""
     bounds = bounds if bounds is not None else stay_bounds(src)
     icu = stay_numbers(src, bounds)
     adm = src.admissions.select("hadm_id", "admittime", "dischtime", "deathtime", "ethnicity",
@@ -56,8 +58,8 @@ def cohort(src: IcuSources, bounds: DataFrame | None = None) -> DataFrame:
     stays = src.icustays.select("subject_id", "hadm_id", "icustay_id", "dbsource",
                                 F.col("intime").alias("icu_intime"),
                                 F.col("outtime").alias("icu_outtime"), "los")
-    j = (stays.join(adm, "hadm_id").join(pat, "subject_id")
-              .join(icu.drop("subject_id"), "icustay_id"))
+    j = (stays.join(adm.hint("merge"), "hadm_id").join(pat.hint("merge"), "subject_id")
+              .join(icu.drop("subject_id").hint("merge"), "icustay_id"))
     age = round_half_away(day_diff("admittime", "dob") / F.lit(K.DAYS_PER_YEAR), 4)
     r_adult = age <= F.lit(float(K.ADULT_AGE))
     r_valid = ((F.col("has_chartevents_data") == 0) | F.col("icu_intime").isNull()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from chartgrid.operators.fanout import fan_out
 from chartgrid.operators.intervals import assign_intervals
 from chartgrid.plans import concepts as K
+from chartgrid.plans.cohort import cohort
 from chartgrid.plans.vitals import lab_codes
 from chartgrid.sources.fixtures import (DerivedSources, admissions, chartevents, icustays, labevents, outputevents,
                                         patients)
@@ -68,3 +69,15 @@ def test_scans_are_estimated_by_rows_not_by_compressed_files(spark, tmp_path):
         assert joined.count() == rows
     finally:
         spark.conf.set(name, limit)
+
+
+def test_the_cohort_broadcasts_no_side_that_grows_with_the_data(spark):
+    ev = _events(spark)
+    cu = spark.range(50).select(F.col("id").alias("c_custkey"), F.lit("x").alias("c_mktsegment"))
+    src = DerivedSources(chartevents(ev), labevents(ev), outputevents(ev), icustays(ev), admissions(cu), patients(cu), ev)
+    df = cohort(src)
+    stays = df.count()
+    assert stays > 0
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()        # as it ran, sizes measured
+    assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
