@@ -1,23 +1,27 @@
 """The hourly wide table (K10), per-stay matrix (K11) and sequences (K12).
 
-``IcuPipeline`` builds every stage lazily from one :class:`IcuSources`; only
-the stages a result needs are planned.  Join layout of the wide table: the
+``IcuPipeline`` builds every stage from one :class:`IcuSources`; only the stages
+a result needs are planned.  Join layout of the wide table: the
 grid and the three stay-level sides (vitals, coma score, urine) are keyed
 ``(icustay_id, hr)``; the two admission-level sides (arterial gas, labs) are
 first mapped onto the kept stays of their admission, so all five left joins
 use the same key and the aggregates' hash partitioning on it is reused
 instead of re-shuffling the wide intermediate between joins.
+
+The cohort and the sides are written once to the shared checkpoint folder.  In one
+plan the driver would plan, generate and report some 20 shuffles anew whenever one
+of them ends, with a copy of the cohort's plan in each branch.
 """
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.rollup import banded_rollup, stats_rollup
 from ..sources.fixtures import IcuSources, slim_sources
+from ..sources.io import materialise
 from . import concepts as K
 from .bloodgas import art_bg
 from .cohort import cohort, cohort_hours, kept_stays, stay_bounds
@@ -53,6 +57,7 @@ class IcuPipeline:
         self._persist = persist
         self._share = share_scans
         self._shared = False
+        self._sides: dict[str, DataFrame] = {}
 
     def _share_scans(self) -> None:
         """Before a multi-side result, optionally read each event table once
@@ -64,16 +69,17 @@ class IcuPipeline:
         self.src = slim_sources(self.src, chart_codes(), lab_and_gas_codes(), K.URINE_CODES)
         for name in ("bounds", "cohort", "kept", "grid", "vitals", "gcs", "urine", "labs", "art_bg"):
             self.__dict__.pop(name, None)
+        self._sides.clear()
         self._shared = True
 
     def unpersist(self) -> None:
-        """Release the persisted slices and cohort."""
-        for df in (self.src.chartevents, self.src.labevents, self.__dict__.get("cohort")):
-            if df is not None and df.storageLevel.useMemory | df.storageLevel.useDisk:
+        """Release the persisted slices."""
+        for df in (self.src.chartevents, self.src.labevents):
+            if df.storageLevel.useMemory | df.storageLevel.useDisk:
                 df.unpersist()
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        return df.persist(StorageLevel.MEMORY_AND_DISK) if self._persist else df
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        return materialise(df, name) if self._persist else df
 
     @cached_property
     def bounds(self) -> DataFrame:
@@ -81,7 +87,7 @@ class IcuPipeline:
 
     @cached_property
     def cohort(self) -> DataFrame:
-        return self._keep(cohort(self.src, self.bounds))
+        return self._keep(cohort(self.src, self.bounds), "cohort")
 
     @cached_property
     def kept(self) -> DataFrame:
@@ -115,6 +121,19 @@ class IcuPipeline:
         """Map an (hadm_id, hr) side onto every kept stay of the admission."""
         return hadm_side.join(self.kept.select("hadm_id", "icustay_id"), "hadm_id").drop("hadm_id")
 
+    def _side(self, part: str) -> DataFrame:
+        """A side of the hourly table, at most one row per (stay, hr), kept on first use."""
+        if part not in self._sides:
+            of = {
+                "vit": lambda: self.vitals,
+                "gcs": lambda: self.gcs,
+                "uo": lambda: self.urine,
+                "bg": lambda: self._per_stay(self.art_bg.drop("charttime")),
+                "lab": lambda: self._per_stay(self.labs),
+            }
+            self._sides[part] = self._keep(of[part](), f"hourly-{part}")
+        return self._sides[part]
+
     def hourly(self, parts=ALL_PARTS) -> DataFrame:
         """(subject_id, hadm_id, icustay_id, hr) + 40 features, one row per
         grid hour; NULL = not measured.  ``parts`` limits the sides included
@@ -132,20 +151,13 @@ class IcuPipeline:
         a stay holding a large share of the raw events is bounded here.
         """
         self._share_scans()
-        sides = {
-            "vit": lambda: self.vitals,
-            "gcs": lambda: self.gcs,
-            "uo": lambda: self.urine,
-            "bg": lambda: self._per_stay(self.art_bg.drop("charttime")),
-            "lab": lambda: self._per_stay(self.labs),
-        }
         frames = [self.grid.select("icustay_id", "hr", "subject_id", "hadm_id",
                                    F.lit(1).alias("__grid"))]
         names = {}
         for p in ALL_PARTS:
             if p not in parts:
                 continue
-            side = sides[p]()
+            side = self._side(p)
             ren = {c: f"{p}__{c}" for c in side.columns if c not in ("icustay_id", "hr")}
             names[p] = ren
             frames.append(side.select("icustay_id", "hr",
