@@ -40,19 +40,20 @@ from .common import keep, map_rows
 WINDOW = 2048
 GROUP = 4_000_000        # ids of a group of pieces that is packed by one task
 PART = 1 << 18           # characters that are encoded at once
+MOST_PARTS = 600_000     # parts between borders that a worker remembers, longer than words
 
 
 class _Memo(dict):
     """Ids of words as bytes; a word that is missing is encoded by the library."""
 
-    MOST = 600_000
+    MOST = 1_000_000        # words, about 0.2 GB
 
-    def __init__(self, encode: Callable[[str], list[int]]):
+    def __init__(self, encode: Callable[[str], list[int]], most: int = MOST):
         super().__init__()
-        self.encode = encode
+        self.encode, self.most = encode, most
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= self.MOST:
+        if len(self) >= self.most:
             self.clear()
         ids = self[word] = array("I", self.encode(word)).tobytes()
         return ids
@@ -91,8 +92,15 @@ class ByteLevelIds:
         self.borders = re.compile(r"(?<=\S)(?=[ \n])")
         table = dict(enumerate(byte_symbols()))
         cut, model = self.library.pre_tokenizer, self.library.model
-        self.memo = _Memo(lambda w: [t.id for t in model.tokenize(w.encode().decode("latin-1").translate(table))])
-        self.parts = _Memo(lambda p: [t.id for w, _ in cut.pre_tokenize_str(p) for t in model.tokenize(w)])
+        blank = table[ord(" ")]
+
+        def symbols(word: str) -> str:
+            if word.isascii() and word.isprintable():      # all but the space stand for themselves
+                return word.replace(" ", blank)
+            return word.encode().decode("latin-1").translate(table)
+
+        self.memo = _Memo(lambda w: [t.id for t in model.tokenize(symbols(w))])
+        self.parts = _Memo(lambda p: [t.id for w, _ in cut.pre_tokenize_str(p) for t in model.tokenize(w)], MOST_PARTS)
 
     def _plain_parts(self, text: str):
         at = 0
